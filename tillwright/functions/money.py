@@ -42,20 +42,16 @@ def margin_percent(price: Column, cost: Column) -> Column:
 
 
 def line_profit(
-    net: Column, quantity: Column, unit_price: Column, cost_factor: str | float = STANDARD_COST_FACTOR
+    net: Column, quantity: Column, price: Column, cost_factor: str | float = STANDARD_COST_FACTOR
 ) -> Column:
     """Net amount less the assumed cost of the goods, a flat share of their list price."""
-    return cents(net - quantity * unit_price * rate(cost_factor))
+    return cents(net - quantity * price * rate(cost_factor))
 
 
-def price_line(
-    unit_price: Column,
-    quantity: Column,
-    discount_pct: Column,
-    tax_rate: Column | None = None,
+def line_amounts(
+    gross: Column, discount_pct: Column, tax_rate: Column | None = None
 ) -> dict[str, Column]:
     """The amounts of one sales line, each rounded before the next builds on it."""
-    gross = cents(unit_price * quantity)
     discount = cents(gross * discount_pct)
     net = (gross - discount).cast(MONEY)
     tax = cents(net * (rate(STANDARD_TAX_RATE) if tax_rate is None else tax_rate))
@@ -66,3 +62,10 @@ def price_line(
         "tax_amount": tax,
         "total_amount": (net + tax).cast(MONEY),
     }
+
+
+def price_line(
+    price: Column, quantity: Column, discount_pct: Column, tax_rate: Column | None = None
+) -> dict[str, Column]:
+    """All amounts of a line from its unit price."""
+    return line_amounts(cents(price * quantity), discount_pct, tax_rate)

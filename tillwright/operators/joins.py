@@ -39,7 +39,7 @@ def scanned_bytes(df: DataFrame) -> int | None:
     plan = getattr(df, "_jdf", None)
     if plan is None:
         return None
-    leaves = plan.queryExecution().optimizedPlan().collectLeaves()
+    leaves = plan.queryExecution().analyzed().collectLeaves()
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 

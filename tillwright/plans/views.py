@@ -30,12 +30,31 @@ def _ratio(part: str, whole: str, scale: int = 1, digits: int = 2) -> str:
     return _half_up(value if scale == 1 else f"{value} * {scale}", digits)
 
 
+@dataclass(frozen=True)
+class DistinctCount:
+    """Number of different values of a column, null not counted."""
+
+    column: str
+
+    def grouped(self) -> str:
+        return f"COUNT(DISTINCT {self.column})"
+
+    def overall(self, source: str) -> str:
+        """For a view without groups: each count gets a shuffle of its one column, where several
+        distinct counts in one aggregate would first multiply every row of the fact."""
+        column = self.column
+        return (
+            f"(SELECT COUNT(*) FROM (SELECT DISTINCT {column} FROM {source} "
+            f"WHERE {column} IS NOT NULL))"
+        )
+
+
 REVENUE = _total("total_amount")
 PROFIT = _total("profit_amount")
 UNITS = "SUM(quantity)"
-SALES = "COUNT(DISTINCT transaction_id)"
-CUSTOMERS = "COUNT(DISTINCT customer_id)"
-STORES = "COUNT(DISTINCT store_id)"
+SALES = DistinctCount("transaction_id")
+CUSTOMERS = DistinctCount("customer_id")
+STORES = DistinctCount("store_id")
 AVERAGE_SALE = _ratio("SUM(total_amount)", "COUNT(total_amount)")
 AVERAGE_DISCOUNT = _ratio("SUM(discount_pct)", "COUNT(discount_pct)", 100, 1)
 MARGIN = _ratio("SUM(profit_amount)", "SUM(total_amount)", 100)
@@ -47,12 +66,16 @@ LAST_PURCHASE = "MAX(full_date)"
 @dataclass(frozen=True)
 class View:
     keys: tuple[str, ...]
-    measures: dict[str, str]
+    measures: dict[str, str | DistinctCount]
     order: tuple[str, ...] = ()
     limit: int | None = None
 
     def sql(self, source: str = FACT) -> str:
-        columns = [*self.keys, *(f"{text} AS {name}" for name, text in self.measures.items())]
+        columns = list(self.keys)
+        for name, measure in self.measures.items():
+            if isinstance(measure, DistinctCount):
+                measure = measure.grouped() if self.keys else measure.overall(source)
+            columns.append(f"{measure} AS {name}")
         parts = [f"SELECT {', '.join(columns)}", f"FROM {source}"]
         if self.keys:
             parts.append(f"GROUP BY {', '.join(self.keys)}")

@@ -6,13 +6,15 @@ tables `customer nation region part supplier orders lineitem` kept as Parquet in
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tillwright.functions.dates import date_key
-from tillwright.functions.money import cents, price_line, rate
+from tillwright.functions.money import cents, line_amounts, rate
 from tillwright.operators.joins import attach
 from tillwright.plans import silver
 from tillwright.schemas import (
@@ -28,6 +30,24 @@ from tillwright.schemas import (
 )
 from tillwright.sources.calendar import calendar_over
 
+# Columns of the order tables, so that opening one does not read its files.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
 # Labels given to codes of the order tables.
 GENDERS = ("Male", "Female", "Other")
 STORE_TYPES = ("Flagship", "Express", "Standard", "Premium")
@@ -53,6 +73,28 @@ def _translate(code: Column, labels: dict[str, str]) -> Column:
     return translated
 
 
+def _hundredths(value: Column) -> Column:
+    """A double written with at most two decimals, in whole hundredths."""
+    return F.rint(value * 100).cast("bigint")
+
+
+def _scaled(units: Column, kind: DecimalType, places: int) -> Column:
+    """Whole units of the given decimal place as a decimal; a cast from double would go through
+    text and take several times as long."""
+    unit = F.lit(f"1e-{places}").cast(f"decimal({places},{places})")
+    return (units.cast("decimal(16,0)") * unit).cast(kind)
+
+
+def _exact(value: Column, kind: DecimalType) -> Column:
+    return _scaled(_hundredths(value), kind, 2)
+
+
+def _price_per_unit(line_price: Column, quantity: Column) -> Column:
+    """Half-up to four decimals, in whole numbers throughout."""
+    ten_thousandths = F.floor((_hundredths(line_price) * 200 + quantity) / (quantity * 2))
+    return _scaled(ten_thousandths, UNIT_PRICE, 4)
+
+
 def _day_offset(first: str, number: Column, days: int) -> Column:
     return F.date_add(F.lit(first).cast("date"), (number % days).cast("int"))
 
@@ -63,9 +105,16 @@ class Star:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            reader = self.spark.read.schema(TABLES[name])
+            self._tables[name] = reader.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
+
+    def silver(self, as_of=None) -> "SilverStar":
+        return SilverStar(self, as_of)
 
     def _places(self, prefix: str) -> DataFrame:
         """Nation and region names, keyed by the nation key of the table to enrich."""
@@ -100,7 +149,7 @@ class Star:
     @cached_property
     def items(self) -> DataFrame:
         key = F.col("p_partkey")
-        price = ((F.col("p_retailprice").cast(MONEY) - 900) * 4 + 10).cast(MONEY)
+        price = ((_exact(F.col("p_retailprice"), MONEY) - 900) * 4 + 10).cast(MONEY)
         cost = cents(price * (rate("0.45") + F.col("p_size") * rate("0.012")))
         return self.table("part").select(
             key.alias("item_id"),
@@ -144,34 +193,30 @@ class Star:
 
     @cached_property
     def order_lines(self) -> DataFrame:
-        """Order lines with their order, and the price per unit."""
+        """Order lines with their order, in retail types."""
         orders = self.table("orders").select(
-            F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderdate",
-            "o_orderpriority",
+            F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus",
+            F.col("o_orderdate").cast("date").alias("order_date"), "o_orderpriority",
         )
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
             F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_extendedprice").cast(MONEY).alias("line_price"),
-            F.col("l_discount").cast(RATE).alias("discount_pct"),
-            F.col("l_tax").cast(RATE).alias("tax_rate"),
-        )
-        return attach(lines, orders, "l_orderkey", "inner").withColumn(
-            "unit_price", F.round(F.col("line_price") / F.col("quantity"), 4).cast(UNIT_PRICE)
+            _exact(F.col("l_extendedprice"), MONEY).alias("line_price"),
+            _price_per_unit(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
+            _exact(F.col("l_discount"), RATE).alias("discount_pct"),
+            _exact(F.col("l_tax"), RATE).alias("tax_rate"),
         )
+        return attach(lines, orders, "l_orderkey", "inner")
 
     @cached_property
     def transactions(self) -> DataFrame:
-        day = F.col("o_orderdate").cast("date")
-        amounts = price_line(
-            F.col("unit_price"), F.col("quantity"), F.col("discount_pct"), F.col("tax_rate")
-        )
+        amounts = line_amounts(F.col("line_price"), F.col("discount_pct"), F.col("tax_rate"))
         return self.order_lines.select(
             F.col("l_orderkey").alias("transaction_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("l_partkey").alias("item_id"),
             F.col("l_suppkey").alias("store_id"),
-            date_key(day).alias("date_id"),
+            date_key(F.col("order_date")).alias("date_id"),
             "quantity",
             "unit_price",
             "discount_pct",
@@ -187,12 +232,27 @@ class Star:
         frames = (self.customers, self.items, self.stores, self.calendar, self.transactions)
         return dict(zip(SOURCES, frames, strict=True))
 
-    def silver(self, as_of=None) -> dict[str, DataFrame]:
-        """Silver tables under the names the quality rules use."""
-        return {
-            "customers": silver.silver_customer(self.customers, as_of),
-            "items": silver.silver_item(self.items),
-            "stores": silver.silver_store(self.stores, as_of),
-            "calendar": silver.silver_calendar(self.calendar),
-            "txns": silver.silver_transactions(self.transactions),
+
+class SilverStar(Mapping):
+    """Silver tables over a star, under the names the quality rules use; built when asked for."""
+
+    def __init__(self, star: Star, as_of=None):
+        self._make = {
+            "customers": lambda: silver.silver_customer(star.customers, as_of),
+            "items": lambda: silver.silver_item(star.items),
+            "stores": lambda: silver.silver_store(star.stores, as_of),
+            "calendar": lambda: silver.silver_calendar(star.calendar),
+            "txns": lambda: silver.silver_transactions(star.transactions),
         }
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._make[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._make)
+
+    def __len__(self) -> int:
+        return len(self._make)
