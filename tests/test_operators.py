@@ -42,7 +42,8 @@ def rows_of(df):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_salted_join_equals_brute_force(skewed, lookup, how):
-    joined = joins.salted_join(skewed[1], lookup[1], "k", how, share=0.05, sample=1.0)
+    hot = joins.hot_keys(skewed[1], ["k"], share=0.05, sample=1.0)["k"]
+    joined = joins.salted_join(skewed[1], lookup[1], "k", how, hot)
     assert joined.columns == ["k", "id", "name"]
     assert rows_of(joined) == expected_join(skewed[0], lookup[0], how)
 
@@ -74,11 +75,22 @@ def test_broadcast_only_where_the_size_is_known(spark, frame, table):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
-def test_hot_keys_finds_the_heavy_key(skewed):
-    hot = joins.hot_keys(skewed[1], "k", share=0.2, sample=1.0)
-    assert list(hot) == [HOT]
-    with_key = [k for _, k in skewed[0] if k is not None]
-    assert hot[HOT] == with_key.count(HOT) / len(with_key)
+def test_hot_keys_of_several_columns_at_once(skewed):
+    df = skewed[1].withColumn("j", F.when(F.col("id") < 300, F.lit("x")).otherwise(F.col("id").cast("string")))
+    hot = joins.hot_keys(df, ["k", "j"], share=0.2, sample=1.0)
+    rows = len(skewed[0])
+    assert hot["k"] == {HOT: [k for _, k in skewed[0]].count(HOT) / rows}
+    assert hot["j"] == {"x": 300 / rows}
+    assert joins.hot_keys(df.limit(0), ["k"], sample=1.0) == {"k": {}}
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_salted_semi_and_anti_join(skewed, lookup, how):
+    known = {k for k, _ in lookup[0] if k is not None}
+    expected = sorted(i for i, k in skewed[0] if (k in known) == (how == "left_semi"))
+    joined = joins.salted_join(skewed[1], lookup[1], "k", how, {HOT: 0.4})
+    assert joined.columns == ["k", "id"]
+    assert sorted(r["id"] for r in joined.collect()) == expected
 
 
 def test_hot_rows_spread_over_many_partitions(spark, skewed, lookup):
@@ -88,7 +100,8 @@ def test_hot_rows_spread_over_many_partitions(spark, skewed, lookup):
     try:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        joined = joins.salted_join(skewed[1], lookup[1], "k", "left", share=0.05, sample=1.0)
+        hot = joins.hot_keys(skewed[1], ["k"], share=0.05, sample=1.0)["k"]
+        joined = joins.salted_join(skewed[1], lookup[1], "k", "left", hot)
         per_task = (
             joined.withColumn("task", F.spark_partition_id()).groupBy("k", "task").count().collect()
         )

@@ -14,10 +14,14 @@ All three return the same rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+KINDS = ("left", "inner", "left_semi", "left_anti")
+SALT = "_salt"
+
 #: Lookup sides that read at most this much are broadcast. Parquet grows several times in
 #: memory, so this stays far below what an executor can hold.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
@@ -57,87 +61,86 @@ def attach(
     how: str = "left",
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     bounded: bool = False,
+    hot: Mapping | None = None,
 ) -> DataFrame:
-    """`left` joined with the columns of `lookup`; `how` is "left" or "inner".
+    """`left` joined with `lookup`; `how` is one of :data:`KINDS`.
 
     `bounded` says that the lookup side enforces a size bound of its own, as the generated
-    calendar does, so that what it reads need not be small.
+    calendar does, so that what it reads need not be small. `hot` gives hot keys found before,
+    with their shares; without it they are looked for where both sides must be shuffled.
     """
     if bounded or fits_broadcast(lookup, broadcast_limit):
         return left.join(F.broadcast(lookup), on, how)
-    return salted_join(left, lookup, on, how)
+    if hot is None:
+        hot = hot_keys(left, [on])[on]
+    return salted_join(left, lookup, on, how, hot)
 
 
 def hot_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, sample: float = HOT_SAMPLE
-) -> dict:
-    """Keys holding at least `share` of the sampled rows, with the share each holds.
+    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, sample: float = HOT_SAMPLE
+) -> dict[str, dict]:
+    """For each key column, its values holding at least `share` of the sampled rows.
 
-    At most 1 / share + 1 rows reach the driver.
+    One job over the key columns alone, for all of them at once; at most 1 / share values per
+    column reach the driver. Give it the table before its joins, so that none is run for this.
     """
-    most = math.ceil(1 / share)
+    everything = 2 ** len(keys) - 1
+    sets = [[key] for key in keys]
     heaviest = (
-        df.select(key)
-        .where(F.col(key).isNotNull())
+        df.select(*keys)
         .sample(fraction=sample, seed=11)
-        .rollup(key)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .orderBy(F.desc("rows"), F.asc_nulls_first(key))
-        .limit(most + 1)
+        .groupingSets([*sets, []], *keys)
+        .agg(F.count(F.lit(1)).alias("rows"), F.grouping_id().alias("set"))
+        .orderBy(F.desc("rows"), F.desc("set"), *keys)
+        .limit((math.ceil(1 / share) + 1) * len(keys) + 1)
         .collect()
     )
-    total = next((row["rows"] for row in heaviest if row[key] is None), 0)
-    return {
-        row[key]: row["rows"] / total
-        for row in heaviest
-        if row[key] is not None and row["rows"] >= max(2, share * total)
-    }
+    total = next((row["rows"] for row in heaviest if row["set"] == everything), 0)
+    least = max(2, share * total)
+    found: dict[str, dict] = {}
+    for position, key in enumerate(keys):
+        own = everything - 2 ** (len(keys) - 1 - position)
+        found[key] = {
+            row[key]: row["rows"] / total
+            for row in heaviest
+            if row["set"] == own and row[key] is not None and row["rows"] >= least
+        }
+    return found
 
 
 def salted_join(
-    left: DataFrame,
-    lookup: DataFrame,
-    on: str,
-    how: str = "left",
-    share: float = HOT_SHARE,
-    sample: float = HOT_SAMPLE,
+    left: DataFrame, lookup: DataFrame, on: str, how: str = "left", hot: Mapping | None = None
 ) -> DataFrame:
     """Shuffled join that spreads the rows of hot keys, and of null keys, over many tasks.
 
     The lookup rows of a hot key are repeated once per salt value. A hot key gets as many salts
-    as its share of the shuffle partitions, so the copies stay bounded by hot keys times
-    partitions. The salt depends on the row and on its input partition: it is the same when
-    a lost task is run again, and identical rows still spread.
+    as the largest share is of the shuffle partitions, so the copies stay bounded by hot keys
+    times partitions. The salt depends on the row and on its input partition: it is the same
+    when a lost task is run again, and identical rows still spread.
     """
-    if how not in ("left", "inner"):
+    if how not in KINDS:
         raise ValueError(f"salted_join does not support {how!r}")
-    hot = hot_keys(left, on, share, sample)
+    hot = hot or {}
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salts = max(2, math.ceil(max(hot.values(), default=0.0) * partitions))
     key = F.col(on)
-
-    def is_hot() -> Column:
-        return key.isin(list(hot)) if hot else F.lit(False)
-
+    is_hot = key.isin(list(hot)) if hot else F.lit(False)
     spread_over = F.lit(max(salts, partitions))
     row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), spread_over)
     spread = ((row_hash + F.spark_partition_id()) % spread_over).cast("int")
-    salted_left = left.withColumn(
-        "_salt",
-        F.when(key.isNull(), -1 - spread).when(is_hot(), spread % salts).otherwise(0),
-    )
-    salted_lookup = lookup.withColumn(
-        "_salt",
-        F.explode(
-            F.when(is_hot(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
+    # A null key never finds a match, so its rows may go anywhere.
+    left_salt = F.when(key.isNull(), -1 - spread).when(is_hot, spread % salts).otherwise(0)
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return (
+        left.withColumn(SALT, left_salt)
+        .join(lookup.withColumn(SALT, F.explode(copies)), [on, SALT], how)
+        .drop(SALT)
     )
-    return salted_left.join(salted_lookup, [on, "_salt"], how).drop("_salt")
 
 
 def orphans(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows of `df` whose key is missing from `parent`; a null key counts as missing."""
-    return df.join(_keys(parent, key), key, "left_anti")
+    return attach(df, parent.select(key), key, "left_anti")
 
 
 def orphan_count(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -146,14 +149,10 @@ def orphan_count(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     Rows are counted per key first, so a key that holds a third of all rows reaches the join
     as one row per map task.
     """
-    known = _keys(parent, key).distinct().withColumn("_known", F.lit(True))
+    keys = parent.select(key).distinct().withColumn("_known", F.lit(True))
+    known = F.broadcast(keys) if fits_broadcast(keys) else keys
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     return per_key.join(known, key, "left").agg(
         F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("rows"))), F.lit(0)).alias("failing"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
     )
-
-
-def _keys(parent: DataFrame, key: str) -> DataFrame:
-    keys = parent.select(key)
-    return F.broadcast(keys) if fits_broadcast(keys) else keys

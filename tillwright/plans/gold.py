@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillwright.functions import bands, dates, money
 from tillwright.functions.measures import flagged, mean, total
-from tillwright.operators.joins import attach
+from tillwright.operators.joins import fits_broadcast, hot_keys, salted_join
 
 # What the fact takes from each dimension, by the key it joins on.
 ATTRIBUTES = {
@@ -39,12 +39,19 @@ def star_join(
 ) -> DataFrame:
     """Sales lines with the attributes of the given dimensions, keyed by join column.
 
-    Every line stays, with null attributes where a key has no dimension row. A query over the
+    Every line stays, with null attributes where a key has no dimension row. Hot keys of all
+    dimensions too large to broadcast are found in one pass before the first join. A query over the
     fact may leave out dimensions it takes nothing from, provided their keys are unique.
     """
     fact = txns.select(*KEYS, *MEASURES, *LABELS)
+    large = [k for k, df in dimensions.items() if k not in bounded and not fits_broadcast(df)]
+    hot = hot_keys(fact, large) if large else {}
     for key, dimension in dimensions.items():
-        fact = attach(fact, dimension.select(key, *ATTRIBUTES[key]), key, bounded=key in bounded)
+        lookup = dimension.select(key, *ATTRIBUTES[key])
+        if key in large:
+            fact = salted_join(fact, lookup, key, "left", hot[key])
+        else:
+            fact = fact.join(F.broadcast(lookup), key, "left")
     attributes = [c for key in ATTRIBUTES if key in dimensions for c in ATTRIBUTES[key]]
     return fact.select(*KEYS, *attributes, *MEASURES, *LABELS)
 

@@ -7,9 +7,12 @@ stage can be run again from the tables before it.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,15 @@ class RunResult:
     failed_checks: list = field(default_factory=list)
 
 
+def _side_by_side(lake: Lake, loads: dict[str, Callable[[], int]]) -> dict[str, int]:
+    """Runs loads that do not depend on each other at the same time, so that the cluster is not
+    left to one small table; returns the rows each wrote. Any failure is raised."""
+    in_session = inheritable_thread_target(lake.spark)
+    with ThreadPoolExecutor(max_workers=len(loads)) as pool:
+        running = {name: pool.submit(in_session(load)) for name, load in loads.items()}
+        return {name: load.result() for name, load in running.items()}
+
+
 def load_bronze(
     lake: Lake,
     raw_dir: str,
@@ -64,6 +76,16 @@ def load_bronze(
     return lake.write(stamped, f"bronze_{table}")
 
 
+def load_all_bronze(
+    lake: Lake, raw_dir: str, batch_ts: datetime.datetime, append: bool = False
+) -> dict[str, int]:
+    """The five source files of one batch."""
+    return _side_by_side(lake, {
+        f"bronze_{table}": partial(load_bronze, lake, raw_dir, table, batch_ts, append=append)
+        for table in SOURCES
+    })
+
+
 def build_silver(
     lake: Lake,
     as_of: datetime.date | str | None = None,
@@ -78,14 +100,15 @@ def build_silver(
         "time_dim": silver.silver_calendar,
         "transactions": lambda df: silver.silver_transactions(df, cost_factor),
     }
-    rows = {}
-    for table, make in refine.items():
+
+    def load(table: str) -> int:
         bronze = lake.read(f"bronze_{table}")
         if dedup:
             bronze = latest_per_key(bronze, [BUSINESS_KEYS[table]], ["_ingested_at"])
-        ready = make(bronze).withColumn("_updated_at", F.current_timestamp())
-        rows[f"silver_{table}"] = lake.write(ready, f"silver_{table}")
-    return rows
+        ready = refine[table](bronze).withColumn("_updated_at", F.current_timestamp())
+        return lake.write(ready, f"silver_{table}")
+
+    return _side_by_side(lake, {f"silver_{table}": partial(load, table) for table in refine})
 
 
 def silver_tables(lake: Lake) -> dict[str, DataFrame]:
@@ -118,9 +141,8 @@ def build_gold(
         "gold_sales_by_category": gold.gold_sales_by_category(written),
         "gold_customer_summary": gold.gold_customer_summary(written, as_of, thresholds),
     }
-    for name, df in summaries.items():
-        rows[name] = lake.write(df, name)
-    return rows
+    loads = {name: partial(lake.write, df, name) for name, df in summaries.items()}
+    return rows | _side_by_side(lake, loads)
 
 
 def run_medallion(
@@ -139,8 +161,7 @@ def run_medallion(
     lake.create()
     batch_ts = batch_ts or datetime.datetime.now()
     result = RunResult()
-    for table in SOURCES:
-        result.rows[f"bronze_{table}"] = load_bronze(lake, raw_dir, table, batch_ts)
+    result.rows.update(load_all_bronze(lake, raw_dir, batch_ts))
     result.rows.update(build_silver(lake, as_of, dedup=dedup))
     checks = quality.report(silver_tables(lake), rules)
     lake.write(checks, "quality_report")

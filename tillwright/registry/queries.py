@@ -100,7 +100,7 @@ def bronze_load(star: Star) -> DataFrame:
     lake = _lake(star, "bronze")
     for table, df in star.raw().items():
         write_flat_file(df, f"{raw_dir}/{FILE_NAMES[table]}")
-        medallion.load_bronze(lake, raw_dir, table, BATCH_TS)
+    medallion.load_all_bronze(lake, raw_dir, BATCH_TS)
     return medallion.layer_audit(lake, "bronze")
 
 

@@ -51,3 +51,18 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             atexit.register(shutil.rmtree, base, ignore_errors=True)
             _local_work_dirs[context.applicationId] = base
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Partition settings for a job that reads `input_bytes` on `cores` cores.
+
+    About 256 MB of shuffle data per task, at least two tasks per core so that none idles, and
+    larger scan splits once 128 MB ones would make more tasks than the driver should track.
+    Adaptive execution merges what turns out small.
+    """
+    split = 128 * 2**20 if input_bytes < 20 * 2**40 else 512 * 2**20
+    partitions = min(100_000, max(2 * cores, input_bytes // (256 * 2**20)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
