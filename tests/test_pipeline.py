@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillwright.plans import medallion, quality, views
 from tillwright.schemas import CUSTOMER, FILE_NAMES
-from tillwright.session import work_dir
+from tillwright.session import sizing, work_dir
 from tillwright.sources.flat_files import read_flat_file, write_flat_file
 from tillwright.sources.lake import Lake
 from tillwright.sources.star import Star
@@ -136,13 +136,16 @@ def test_orc_lake(spark):
 def test_stream_alert_emits_closed_days_once(spark, tmp_path):
     schema = "ts timestamp_ntz, event_type string, value double"
     source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    elsewhere = spark.newSession()
+    elsewhere.conf.set("spark.sql.session.timeZone", "America/New_York")
 
     def deliver(*rows):
         parsed = [(datetime.datetime.fromisoformat(t), e, v) for t, e, v in rows]
         spark.createDataFrame(parsed, schema).coalesce(1).write.mode("append").parquet(source)
 
     def run():
-        events = revenue_alert.event_stream(spark, source, schema)
+        session = revenue_alert.stream_session(elsewhere, partitions=4)
+        events = revenue_alert.event_stream(session, source, schema)
         revenue_alert.start_alert(events, 100.0, out, checkpoint).awaitTermination()
         rows = spark.read.parquet(out).collect()
         return sorted((r["full_date"].day, r["total_revenue"]) for r in rows)
@@ -162,6 +165,13 @@ def test_stream_alert_emits_closed_days_once(spark, tmp_path):
     assert run() == [(1, 60.5), (4, 15.0)]
 
 
+def test_sizing_follows_the_input():
+    small, large = sizing(10 * 2**30, cores=16), sizing(100 * 2**40, cores=8000)
+    assert small["spark.sql.shuffle.partitions"] == "40"
+    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert sizing(1, cores=16)["spark.sql.shuffle.partitions"] == "32"
+
+
 def test_work_dir_is_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = work_dir(spark, "x"), work_dir(spark, "x")

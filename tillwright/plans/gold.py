@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillwright.functions import bands, dates, money
 from tillwright.functions.measures import flagged, mean, total
+from tillwright.operators.audit import preview
 from tillwright.operators.joins import fits_broadcast, hot_keys, salted_join
 
 # What the fact takes from each dimension, by the key it joins on.
@@ -144,9 +145,6 @@ def gold_customer_summary(
 
 
 def top_categories(category: DataFrame, count: int = 5) -> DataFrame:
-    """The best categories of the category table, with an explicit order."""
-    return (
-        category.orderBy("revenue_rank", *CATEGORY_KEYS)
-        .limit(count)
-        .select("category", "total_revenue", "profit_margin_pct", "units_sold")
-    )
+    """The best categories of the category table."""
+    shown = ["category", "total_revenue", "profit_margin_pct", "units_sold"]
+    return preview(category, ["revenue_rank", *CATEGORY_KEYS], count, shown)

@@ -6,6 +6,8 @@ checked against one that does not.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 D2 = "DECIMAL(18, 2)"
 AS_OF = "DATE '2001-08-02'"
 
@@ -297,8 +299,16 @@ _CHECKS = {
 }
 
 
-def _report(*groups: str, more: tuple[str, ...] = ()) -> str:
-    checks = [c for g in (groups or _CHECKS) for c in _CHECKS[g]] + list(more)
+_MORE_CHECKS = [
+    _check("store_id unique", "stores", _surplus("store_id", "stores")),
+    _check("date_id unique", "calendar", _surplus("date_id", "calendar")),
+    _check("month between 1 and 12", "calendar", _broken("month < 1 OR month > 12")),
+    _check("date_id ref integrity", "txns", _orphans("date_id", "calendar")),
+]
+
+
+def _report(*groups: str, more: Sequence[str] = ()) -> str:
+    checks = [c for g in groups for c in _CHECKS[g]] + list(more)
     union = "\nUNION ALL ".join(checks)
     passing = _round("(1 - CAST(failing AS DOUBLE) / total) * 100", 1)
     return f"""SELECT "check", "table", CASE WHEN failing = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
@@ -306,7 +316,7 @@ def _report(*groups: str, more: tuple[str, ...] = ()) -> str:
 FROM ({union})"""
 
 
-_FULL_REPORT = _report()
+_FULL_REPORT = _report(*_CHECKS)
 
 ORACLE: dict[str, str] = {
     # Sources and sinks.
@@ -341,6 +351,9 @@ UNION ALL SELECT 'TOTAL', CAST(SUM(row_count) AS BIGINT) FROM counts"""),
        units_sold
 FROM ({_CATEGORY})
 ORDER BY revenue_rank, category, sub_category, price_band LIMIT 5"""),
+    "preview_transactions": _with(_TXNS, f"""SELECT transaction_id, item_id, store_id,
+       {_doubles("total_amount")}, quantity, channel
+FROM txns ORDER BY transaction_id, item_id, store_id, txns.total_amount LIMIT 5"""),
     "dim_calendar": _with(_CALENDAR, """SELECT * REPLACE (
        CASE WHEN is_weekend THEN 'Y' ELSE 'N' END AS is_weekend,
        CASE WHEN is_holiday THEN 'Y' ELSE 'N' END AS is_holiday)
@@ -502,6 +515,7 @@ FROM fact GROUP BY region"""),
         _check("customer_id active", "txns",
                _orphans("customer_id", "(SELECT customer_id FROM customers WHERE is_active)")),
     ))),
+    "dq_more_rules": _with(_STAR, _report(more=_MORE_CHECKS)),
     "dq_report": _with(_STAR, _FULL_REPORT),
     "dq_summary": _with(_STAR, f"SELECT status, COUNT(*) AS checks FROM ({_FULL_REPORT}) GROUP BY status"),
     "dq_failures": _with(_STAR, f"SELECT * FROM ({_FULL_REPORT}) WHERE status = 'FAIL'"),

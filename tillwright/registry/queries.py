@@ -13,7 +13,7 @@ from pyspark.sql.types import DecimalType
 from tillwright.functions import bands, dates, money, text
 from tillwright.functions.casting import parse_date, parse_flag, typed_columns
 from tillwright.functions.measures import flagged, mean, total
-from tillwright.operators.audit import row_counts
+from tillwright.operators.audit import preview, row_counts
 from tillwright.operators.dedup import distinct_values, latest_per_key
 from tillwright.operators.joins import orphans
 from tillwright.plans import alerts, gold, medallion, quality, views
@@ -133,6 +133,12 @@ def preview_top_categories(star: Star) -> DataFrame:
     return gold.top_categories(gold.gold_sales_by_category(_fact(star, "item_id")))
 
 
+@query
+def preview_transactions(star: Star) -> DataFrame:
+    order = ["transaction_id", "item_id", "store_id", "total_amount"]
+    return preview(star.transactions, order, columns=[*order, "quantity", "channel"])
+
+
 @query
 def dim_calendar(star: Star) -> DataFrame:
     return star.calendar
@@ -556,6 +562,17 @@ def dq_ref_integrity(star: Star) -> DataFrame:
     return quality.report(tables, rules)
 
 
+@query
+def dq_more_rules(star: Star) -> DataFrame:
+    """Rules beyond the standard ones, a line each."""
+    return quality.report(star.silver(AS_OF), [
+        quality.unique("stores", "store_id"),
+        quality.unique("calendar", "date_id"),
+        quality.within("calendar", "month", 1, 12),
+        quality.refers("txns", "date_id", "calendar"),
+    ])
+
+
 @query
 def dq_report(star: Star) -> DataFrame:
     return _report(star)
@@ -601,10 +618,10 @@ def alert_daily_revenue(star: Star) -> DataFrame:
 @query
 def alert_daily_revenue_stream(star: Star) -> DataFrame:
     """The alert over the purchase events, run until all files present are read."""
-    spark = star.spark
-    schema = star.table("events").schema
+    spark, schema = star.spark, star.table("events").schema
     # The pattern lets the table be one file or a folder of files.
-    events = revenue_alert.event_stream(spark, f"{star.folder}/events.parquet*", schema)
+    session = revenue_alert.stream_session(spark, partitions=8)
+    events = revenue_alert.event_stream(session, f"{star.folder}/events.parquet*", schema)
     out, checkpoint = work_dir(spark, "alerts"), work_dir(spark, "alerts-checkpoint")
     revenue_alert.start_alert(events, STREAM_TARGET, out, checkpoint).awaitTermination()
     return spark.read.parquet(out)

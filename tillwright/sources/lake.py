@@ -23,7 +23,8 @@ class Lake:
     fmt: str = "parquet"
 
     def create(self) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        location = f" LOCATION '{self.root}'" if self.root else ""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{location}")
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"

@@ -1,6 +1,7 @@
 """The daily revenue alert over a stream of purchases.
 
-Days are those of the session time zone, which this package sets to UTC.
+Start it from a :func:`stream_session`, which fixes the time zone that days are cut in and the
+number of state partitions.
 """
 
 from __future__ import annotations
@@ -13,8 +14,20 @@ from tillwright.plans.alerts import days_below
 from tillwright.schemas import MONEY
 
 
+def stream_session(spark: SparkSession, partitions: int = 32) -> SparkSession:
+    """A session of the same application for the stream: days are UTC days, and the state, a row
+    per open day, has few partitions however many the batch jobs shuffle into."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return session
+
+
 def event_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Parquet files below `path` (a folder or a pattern) as a stream of rows."""
+    """Parquet files below `path` (a folder or a pattern) as a stream of rows.
+
+    All files present form one batch, so the order they are read in makes no row late.
+    """
     return spark.readStream.schema(schema).parquet(path)
 
 
