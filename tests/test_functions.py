@@ -42,7 +42,7 @@ def test_dates_of_bad_text_are_null(frame):
 def test_typed_columns_turn_bad_text_into_null(frame):
     types = {k: v for k, v in silver_types("item_dim").items() if k in ("item_id", "unit_price")}
     df = frame("item_id string, unit_price string", ("3", "9.99"), ("x", "free"))
-    rows = df.select(*[c.alias(n) for n, c in typed_columns(df, types).items()]).collect()
+    rows = df.withColumns(typed_columns(df, types)).collect()
     assert [tuple(r) for r in rows] == [(3, Decimal("9.99")), (None, None)]
 
 

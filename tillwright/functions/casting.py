@@ -8,7 +8,7 @@ from pyspark.sql.types import DataType, DateType, StringType
 
 
 def parse_date(text: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("date")
+    return F.try_to_date(text, pattern)
 
 
 def parse_flag(text: Column) -> Column:
@@ -17,14 +17,14 @@ def parse_flag(text: Column) -> Column:
 
 
 def typed_columns(df: DataFrame, types: dict[str, DataType]) -> dict[str, Column]:
-    """Expression per column of `types`; a column that already has its type passes through."""
+    """Expression for each column of `types` that does not have its type yet."""
     actual = {field.name: field.dataType for field in df.schema}
     columns = {}
     for name, wanted in types.items():
-        column = F.col(name)
         if actual[name] == wanted:
-            columns[name] = column
-        elif wanted == DateType() and actual[name] == StringType():
+            continue
+        column = F.col(name)
+        if wanted == DateType() and actual[name] == StringType():
             columns[name] = parse_date(column)
         else:
             columns[name] = column.try_cast(wanted)

@@ -21,11 +21,10 @@ AsOf = datetime.date | str | None
 def _refined(df: DataFrame, table: str, cleaned: dict | None = None, **derived: Column) -> DataFrame:
     """Types of the table, then `cleaned` over the typed columns, then the `derived` columns."""
     rows = drop_provenance(df)
-    columns = typed_columns(rows, silver_types(table))
+    changed = typed_columns(rows, silver_types(table))
     for name, clean in (cleaned or {}).items():
-        columns[name] = clean(columns[name])
-    typed = rows.select(*[columns.get(c, F.col(c)).alias(c) for c in rows.columns])
-    return typed.withColumns(derived) if derived else typed
+        changed[name] = clean(changed.get(name, F.col(name)))
+    return rows.withColumns(changed).withColumns(derived)
 
 
 def silver_customer(df: DataFrame, as_of: AsOf = None) -> DataFrame:

@@ -174,8 +174,7 @@ def txn_pricing(star: Star) -> DataFrame:
 def silver_casts(star: Star) -> DataFrame:
     """All transaction columns typed from text."""
     raw = star.transactions.select(*[F.col(c).cast("string") for c in star.transactions.columns])
-    columns = typed_columns(raw, silver_types("transactions"))
-    return raw.select(*[column.alias(name) for name, column in columns.items()])
+    return raw.withColumns(typed_columns(raw, silver_types("transactions")))
 
 
 @query
