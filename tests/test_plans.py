@@ -152,15 +152,17 @@ def test_gold_tables_agree_on_revenue(fact):
     assert revenue(gold.gold_customer_summary(fact, AS_OF), "total_spend") == expected
 
 
-def test_kpis_count_no_nulls(fact):
-    row = views.VIEWS["vw_executive_kpis"].over(fact).first()
+@pytest.mark.parametrize("stored", [False, True])
+def test_kpis_count_no_nulls(fact, stored):
+    row = views.VIEWS["vw_executive_kpis"].over(fact, stored).first()
     assert (row["total_transactions"], row["unique_customers"]) == (4, 3)
     assert (row["total_revenue"], row["avg_order_value"], row["total_units_sold"]) == (65.0, 13.0, 6)
     assert (row["total_returns"], row["return_rate_pct"]) == (1, 20.0)
 
 
-def test_kpis_of_an_empty_fact(fact):
-    row = views.VIEWS["vw_executive_kpis"].over(fact.limit(0)).first()
+@pytest.mark.parametrize("stored", [False, True])
+def test_kpis_of_an_empty_fact(fact, stored):
+    row = views.VIEWS["vw_executive_kpis"].over(fact.limit(0), stored).first()
     assert (row["total_transactions"], row["unique_customers"]) == (0, 0)
     assert [row[c] for c in ("total_revenue", "profit_margin_pct", "return_rate_pct")] == [None] * 3
 

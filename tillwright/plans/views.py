@@ -36,12 +36,11 @@ class DistinctCount:
 
     column: str
 
-    def grouped(self) -> str:
+    def in_one_pass(self) -> str:
         return f"COUNT(DISTINCT {self.column})"
 
-    def overall(self, source: str) -> str:
-        """For a view without groups: each count gets a shuffle of its one column, where several
-        distinct counts in one aggregate would first multiply every row of the fact."""
+    def on_its_own(self, source: str) -> str:
+        """One narrow shuffle of the column, at the price of reading it again."""
         column = self.column
         return (
             f"(SELECT COUNT(*) FROM (SELECT DISTINCT {column} FROM {source} "
@@ -70,11 +69,18 @@ class View:
     order: tuple[str, ...] = ()
     limit: int | None = None
 
-    def sql(self, source: str = FACT) -> str:
+    def sql(self, source: str = FACT, stored: bool = True) -> str:
+        """The view over `source`.
+
+        Several distinct counts in one aggregate multiply every row of the source. Where there are
+        no groups and the source is a `stored` table, each count therefore reads its one column
+        for itself; a source that has to be computed is gone through once.
+        """
         columns = list(self.keys)
         for name, measure in self.measures.items():
             if isinstance(measure, DistinctCount):
-                measure = measure.grouped() if self.keys else measure.overall(source)
+                apart = stored and not self.keys
+                measure = measure.on_its_own(source) if apart else measure.in_one_pass()
             columns.append(f"{measure} AS {name}")
         parts = [f"SELECT {', '.join(columns)}", f"FROM {source}"]
         if self.keys:
@@ -85,8 +91,8 @@ class View:
             parts.append(f"LIMIT {self.limit}")
         return "\n".join(parts)
 
-    def over(self, fact: DataFrame) -> DataFrame:
-        return fact.sparkSession.sql(self.sql("{fact}"), fact=fact)
+    def over(self, fact: DataFrame, stored: bool = False) -> DataFrame:
+        return fact.sparkSession.sql(self.sql("{fact}", stored), fact=fact)
 
 
 VIEWS = {
@@ -143,10 +149,10 @@ _REGION = View(("region",), {
 })
 
 
-def create_temp_views(fact: DataFrame) -> None:
+def create_temp_views(fact: DataFrame, stored: bool = False) -> None:
     """The views as temporary views of the session, over any DataFrame of the fact."""
     for name, view in VIEWS.items():
-        view.over(fact).createOrReplaceTempView(name)
+        view.over(fact, stored).createOrReplaceTempView(name)
 
 
 def create_catalog_views(spark: SparkSession, database: str, fact_table: str = FACT) -> None:
