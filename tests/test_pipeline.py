@@ -78,6 +78,11 @@ def test_partitioned_fact_is_pruned(spark, raw_dir):
 
 
 def test_catalog_views_answer_sql(spark):
+    fact = spark.table("full_run.gold_fact_sales")
+    for name, view in views.VIEWS.items():
+        written, computed = spark.table(f"full_run.{name}"), view.over(fact)
+        assert written.columns == computed.columns
+        assert sorted(map(str, written.collect())) == sorted(map(str, computed.collect()))
     top = spark.sql("SELECT * FROM full_run.vw_top_customers").collect()
     assert len(top) == 50
     assert [r["total_spend"] for r in top] == sorted((r["total_spend"] for r in top), reverse=True)

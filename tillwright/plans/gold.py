@@ -47,8 +47,9 @@ def star_join(
     fact = txns.select(*KEYS, *MEASURES, *LABELS)
     large = [k for k, df in dimensions.items() if k not in bounded and not fits_broadcast(df)]
     hot = hot_keys(fact, large) if large else {}
-    for key, dimension in dimensions.items():
-        lookup = dimension.select(key, *ATTRIBUTES[key])
+    # Shuffled joins come first, while the rows are narrow.
+    for key in sorted(dimensions, key=lambda k: k not in large):
+        lookup = dimensions[key].select(key, *ATTRIBUTES[key])
         if key in large:
             fact = salted_join(fact, lookup, key, "left", hot[key])
         else:
