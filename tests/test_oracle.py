@@ -4,6 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as registry
+from tillwright.registry.oracle import ORACLE
+from tillwright.registry.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,13 +16,13 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    ours = compare.spark_rows(registry.queries()[name](spark, FOLDER))
-    theirs = compare.duck_rows(connection, registry.oracle_sql()[name])
+    ours = compare.spark_rows(QUERIES[name](spark, FOLDER))
+    theirs = compare.duck_rows(connection, ORACLE[name])
     assert compare.differences(ours, theirs) == ""
 
 
