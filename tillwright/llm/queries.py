@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, exact_dedup, token_records, url_filters
+from tillwright.llm import bpe, embedding_dedup, exact_dedup, quality, token_records, url_filters
 from tillwright.llm.common import table
 from tillwright.session import work_dir
 
@@ -42,3 +43,18 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode_documents(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= quality.GOOD, 1).otherwise(0).alias("predicted"),
+    )
