@@ -38,3 +38,70 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = min(doc_id) OVER same AS kept, text_sha256
 FROM rows WINDOW same AS (PARTITION BY text_sha256)
 """
+
+
+def _mixing(targets={"source": 0.5, "lang": 0.7, "topic": 0.8}, rounds: int = 25, keep: float = 0.75) -> str:
+    """The rounds of raking, written out one after the other."""
+    parts = ["""rows AS MATERIALIZED (
+    SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+           CASE WHEN contains(t, 'icense') OR contains(t, 'opyright') THEN 'legal'
+                WHEN contains(t, '@') THEN 'contact' WHEN contains(t, '=') THEN 'technical'
+                ELSE 'prose' END AS topic,
+           len(regexp_extract_all(t, '\\S+')) AS tokens,
+           ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, md5(t))), 1, 13))::BIGINT / 4503599627370496.0 AS draw
+    FROM (SELECT *, coalesce(text, '') AS t FROM documents)
+)""", """cells AS MATERIALIZED (
+    SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens, sum(tokens)::DOUBLE AS weight
+    FROM rows GROUP BY ALL HAVING sum(tokens) > 0
+)"""]
+    for dimension, power in targets.items():
+        parts.append(f"""share_{dimension} AS MATERIALIZED (
+    SELECT {dimension}, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () AS share
+    FROM cells GROUP BY {dimension}
+)""")
+    last = "cells"
+    for number in range(rounds):
+        for dimension in targets:
+            name = f"round_{number}_{dimension}"
+            parts.append(f"""{name} AS MATERIALIZED (
+    SELECT c.* EXCLUDE (weight, share), c.weight * share * (SELECT sum(tokens) FROM cells)
+           / sum(c.weight) OVER (PARTITION BY {dimension}) AS weight
+    FROM (SELECT * FROM {last} JOIN share_{dimension} USING ({dimension})) c
+)""")
+            last = name
+    parts.append(f"""ordered AS MATERIALIZED (
+    SELECT *, coalesce(sum(tokens) OVER earlier, 0) AS taken, coalesce(sum(weight) OVER earlier, 0) AS used
+    FROM {last}
+    WINDOW earlier AS (ORDER BY weight / tokens DESC, source, lang, topic
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), factor AS (
+    SELECT arg_min(({keep} * total - taken) / (mass - used), taken) AS c FROM (
+        SELECT *, sum(tokens) OVER () AS total, sum(weight) OVER () AS mass FROM ordered)
+    WHERE {keep} * total > taken AND ({keep} * total - taken) / (mass - used) * weight <= tokens
+), chances AS (
+    SELECT source, lang, topic, least(1.0, weight * c / tokens) AS chance FROM ordered, factor
+)""")
+    return "WITH " + ", ".join(parts) + """
+SELECT doc_id, source, lang, topic, tokens, round(coalesce(chance, 0), 6) AS chance,
+       draw < coalesce(chance, 0) AS sampled
+FROM rows LEFT JOIN chances USING (source, lang, topic)
+"""
+
+
+ORACLE["op10_mixing"] = _mixing()
+
+ORACLE["op3_embedding_dedup"] = """
+WITH RECURSIVE unit AS MATERIALIZED (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0
+), links AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach(vec_id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+"""

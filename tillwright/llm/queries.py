@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, embedding_dedup, exact_dedup, quality, token_records, url_filters
+from tillwright.llm import bpe, embedding_dedup, exact_dedup, mixing, quality, token_records, url_filters
 from tillwright.llm.common import table
 from tillwright.session import work_dir
 
@@ -58,3 +58,9 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", quality.held_out().alias("held_out"), "score",
         F.when(F.col("score") >= quality.GOOD, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.withColumn("chance", F.round("chance", 6))
