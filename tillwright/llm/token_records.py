@@ -36,8 +36,8 @@ MASK_DELTA = 0xA282EAD8
 END_ID = 2
 #: Bytes of text that go to one file.
 FILE_BYTES = 32 * 2**20
-#: Chunks a task remembers with their ids before it starts anew.
-MEMO = 600_000
+#: Chunks in each of the two generations that a task remembers with their ids.
+MEMO = 400_000
 
 _HEAD = np.dtype([("length", "<u8"), ("check", "<u4")])
 _INDEX = (
@@ -85,25 +85,36 @@ def unpack(payload: memoryview) -> tuple[int | None, np.ndarray]:
 
 
 class Encoder:
-    """Texts to the bytes of their ids, by the tokenizers library; remembers chunks."""
+    """Texts to the bytes of their ids, by the tokenizers library; remembers chunks.
+
+    Chunks not seen lately go to the library as one text. Their ids are told apart by the bytes
+    they stand for, which a byte-level vocabulary gives exactly.
+    """
 
     def __init__(self, file: str, memo: int = MEMO):
-        self.file, self.limit, self.memo, self.library = file, memo, {}, None
+        self.file, self.limit, self.library = file, memo, None
 
     def __getstate__(self):
-        return {**self.__dict__, "memo": {}, "library": None}
+        return {"file": self.file, "limit": self.limit, "library": None}
 
     def _load(self) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(self.file)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        kind = "<u2" if self.width == 2 else "<u4"
+        vocabulary = self.library.get_vocab()
+        self.width = 2 if max(vocabulary.values(), default=0) < 1 << 16 else 4
+        self.kind = "<u2" if self.width == 2 else "<u4"
+        # Every character of a byte-level entry stands for one byte.
+        self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for entry, number in vocabulary.items():
+            self.bytes[number] = len(entry)
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [
-            np.array(e.ids, kind).tobytes()
+            np.array(e.ids, self.kind)
             for e in self.library.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
@@ -113,27 +124,42 @@ class Encoder:
         out: list[bytes] = []
         for text in texts:
             if OTHER_SPACE.search(text):
-                out += self._encode([text])
+                out.append(self._ids([text])[0].tobytes())
             else:
                 out.append(b"".join(self._part(part) for part in parts(text)))
         return out
 
     def _part(self, text: str) -> bytes:
         chunks = CHUNK.findall(text)
-        memo = self.memo
-        missing = [c for c in dict.fromkeys(chunks) if c not in memo]
-        if not missing:
-            return b"".join(map(memo.__getitem__, chunks))
-        if len(memo) + len(missing) > self.limit:
-            memo.clear()
-            missing = list(dict.fromkeys(chunks))
-        memo.update(zip(missing, self._encode(missing), strict=True))
+        if not chunks:
+            return b""
+        memo, older, missing = self.memo, self.older, []
+        for chunk in set(chunks).difference(memo):
+            if chunk in older:
+                memo[chunk] = older[chunk]
+            else:
+                missing.append(chunk)
+        if missing:
+            self._learn(missing)
         ids = b"".join(map(memo.__getitem__, chunks))
-        for chunk in missing:
-            if len(chunk) > 64:
-                del memo[chunk]
+        if len(memo) > self.limit:
+            self.memo, self.older = {}, memo
         return ids
 
+    def _learn(self, missing: list[str]) -> None:
+        """Chunks that begin with white space and end with none follow each other safely."""
+        joined = [c for c in missing if c[0] in " \n" and c[-1] not in " \n"]
+        ids = self._ids(["".join(joined)])[0] if joined else np.zeros(0, self.kind)
+        ends = np.cumsum([len(c.encode()) for c in joined], dtype=np.int64)
+        stops = np.searchsorted(np.cumsum(self.bytes[ids]), ends, side="left") + 1
+        data, start = ids.tobytes(), 0
+        for chunk, stop in zip(joined, (stops * self.width).tolist(), strict=True):
+            self.memo[chunk] = data[start:stop]
+            start = stop
+        alone = [c for c in missing if c[0] not in " \n" or c[-1] in " \n"]
+        for chunk, own in zip(alone, self._ids(alone), strict=True):
+            self.memo[chunk] = own.tobytes()
+
 
 def write_records(
     docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", text_col: str = "text",
