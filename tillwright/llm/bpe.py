@@ -17,6 +17,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from tillwright.llm.chunks import CHUNK, OTHER_SPACE, PART, parts
 from tillwright.llm.common import arrived, shipped, whole
 
-#: Chunks and pre-tokens a task remembers before it starts anew.
+#: Chunks in each of the two generations that a task remembers; half as many pre-tokens.
 MEMO = 600_000
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a file of lines `base64 rank`."""
@@ -132,6 +133,27 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class Memo:
+    """Ids of strings seen lately: two generations of at most `limit` short strings each."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def get(self, text: str) -> list[int] | None:
+        ids = self.young.get(text)
+        if ids is None:
+            ids = self.old.get(text)
+            if ids is not None:
+                self.put(text, ids)
+        return ids
+
+    def put(self, text: str, ids: list[int]) -> None:
+        if len(text) <= 64:
+            if len(self.young) >= self.limit:
+                self.young, self.old = {}, self.young
+            self.young[text] = ids
+
+
 class ByteBpe:
     """Encoder and decoder over one vocabulary of ranks."""
 
@@ -142,16 +164,19 @@ class ByteBpe:
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
+        self.names = [str(number) for number in range(len(self.tokens))]
         self.limit = memo
-        self.memo: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.chunks, self.pieces = Memo(memo), Memo(memo // 2)
 
     def __getstate__(self):
-        return {**self.__dict__, "pattern": self.pattern.pattern, "memo": {}, "pieces": {}}
+        state = {**self.__dict__, "pattern": self.pattern.pattern}
+        del state["chunks"], state["pieces"]
+        return state
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.pattern = regex.compile(state["pattern"])
+        self.chunks, self.pieces = Memo(self.limit), Memo(self.limit // 2)
 
     def piece(self, text: str) -> list[int]:
         """Ids of one pre-token."""
@@ -159,41 +184,41 @@ class ByteBpe:
         found = self.hash.get(data)
         return [found] if found is not None else merge_bytes(data, self.ranks)
 
-    def _remember(self, memo: dict[str, list[int]], text: str, ids: list[int]) -> None:
-        if len(text) <= 64:
-            if len(memo) >= self.limit:
-                memo.clear()
-            memo[text] = ids
-
-    def _known_piece(self, text: str) -> list[int]:
-        ids = self.pieces.get(text)
-        if ids is None:
-            ids = self.piece(text)
-            self._remember(self.pieces, text, ids)
+    def _pieces(self, texts: list[str]) -> list[int]:
+        known, ids = self.pieces, []
+        for text in texts:
+            own = known.get(text)
+            if own is None:
+                own = self.piece(text)
+                known.put(text, own)
+            ids += own
         return ids
 
     def _chunk(self, chunk: str) -> list[int]:
-        ids = [i for piece in self.pattern.findall(chunk) for i in self._known_piece(piece)]
-        self._remember(self.memo, chunk, ids)
+        ids = self.chunks.get(chunk)
+        if ids is None:
+            ids = self._pieces(self.pattern.findall(chunk))
+            self.chunks.put(chunk, ids)
         return ids
 
     def encode(self, text: str) -> Iterator[list[int]]:
         """Ids of the whole text, in blocks."""
         if OTHER_SPACE.search(text):
-            block: list[int] = []
-            for match in self.pattern.finditer(text):
-                block += self._known_piece(match.group())
-                if len(block) >= PART:
-                    yield block
-                    block = []
-            yield block
+            found = (match.group() for match in self.pattern.finditer(text))
+            while pieces := list(islice(found, PART)):
+                yield self._pieces(pieces)
             return
         for part in parts(text):
-            known, block = self.memo.get, []
+            block: list[int] = []
             for chunk in CHUNK.findall(part):
-                block += known(chunk) or self._chunk(chunk)
+                # A generation that fills up is replaced, so it is looked up anew each time.
+                block += self.chunks.young.get(chunk) or self._chunk(chunk)
             yield block
 
+    def write(self, ids: list[int]) -> str:
+        """Decimal ids joined by a space."""
+        return " ".join(map(self.names.__getitem__, ids))
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -220,7 +245,7 @@ def encode_documents(
                 count, ids_hash, bytes_hash, kept = 0, hashlib.sha256(), hashlib.sha256(), []
                 for ids in bpe.encode(text.as_py()):
                     if ids:
-                        ids_hash.update((" " * (count > 0) + " ".join(map(str, ids))).encode())
+                        ids_hash.update((" " * (count > 0) + bpe.write(ids)).encode())
                         bytes_hash.update(bpe.decode(ids))
                         count += len(ids)
                         if with_ids:
