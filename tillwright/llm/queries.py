@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, embedding_dedup, exact_dedup, mixing, quality, token_records, url_filters
+from tillwright.llm import bpe, embedding_dedup, exact_dedup, mixing, quality, secrets, token_records, url_filters
 from tillwright.llm.common import table
 from tillwright.session import work_dir
 
@@ -64,3 +64,8 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.withColumn("chance", F.round("chance", 6))
+
+
+@query
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, folder, "documents")).drop("found")
