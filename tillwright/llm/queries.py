@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, embedding_dedup, exact_dedup, mixing, quality, secrets, token_records, url_filters
+from tillwright.llm import bpe, embedding_dedup, exact_dedup, jaccard, mixing, quality, secret_scan, token_records, url_filters
 from tillwright.llm.common import table
 from tillwright.session import work_dir
 
@@ -68,4 +68,9 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.scan_secrets(table(spark, folder, "documents")).drop("found")
+    return secret_scan.scan_secrets(table(spark, folder, "documents")).drop("found")
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_texts(table(spark, folder, "documents"))
