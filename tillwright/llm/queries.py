@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, embedding_dedup, exact_dedup, jaccard, mixing, quality, secret_scan, token_records, url_filters
+from tillwright.llm import bpe, embedding_dedup, exact_dedup, jaccard, mixing, quality, secret_scan, suffix_dedup, token_records, url_filters
 from tillwright.llm.common import table
 from tillwright.session import work_dir
 
@@ -74,3 +74,8 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_texts(table(spark, folder, "documents"))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.cut_repeats(table(spark, folder, "documents"))

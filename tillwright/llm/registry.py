@@ -1,6 +1,9 @@
-"""All queries of this subpackage and the SQL that checks them."""
+"""All queries of this subpackage and of the pipeline, and the SQL that checks them."""
 
-from tillwright.llm.oracle import ORACLE
-from tillwright.llm.queries import QUERIES
+import corpus_pipeline
+from tillwright.llm import oracle, queries
 
-__all__ = ["ORACLE", "QUERIES"]
+QUERIES = {**queries.QUERIES, "pipeline": corpus_pipeline.run}
+ORACLE = dict(oracle.ORACLE)
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
