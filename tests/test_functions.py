@@ -85,8 +85,8 @@ def test_customer_segment(frame, orders, spend, recency, label):
 
 
 def test_half_up_goes_by_decimal_digits(frame):
-    df = frame("x double", (2.345,), (1.005,), (-2.5,), (0.125,), (None,))
-    assert column(df, money.half_up(F.col("x"), 2)) == [2.35, 1.01, -2.5, 0.13, None]
+    df = frame("x double", (2.345,), (1.005,), (-2.5,), (0.125,), (None,), (42.62499999999999,))
+    assert column(df, money.half_up(F.col("x"), 2)) == [2.35, 1.01, -2.5, 0.13, None, 42.62]
 
 
 def test_percent_of_zero_is_null(frame):
@@ -120,6 +120,13 @@ def test_line_profit_uses_the_cost_factor(frame):
     assert column(df, money.line_profit(*args, "0.9")) == [Decimal("2.00")]
 
 
+def test_line_profit_is_exact_for_factors_of_four_digits(frame):
+    df = frame("n decimal(18,2), q int, p decimal(18,4)", (Decimal("0.00"), 1, Decimal("1.6129")))
+    args = F.col("n"), F.col("q"), F.col("p")
+    assert column(df, money.line_profit(*args, "0.0031")) == [Decimal("0.00")]
+    assert column(df, money.line_profit(*args, "0.0032")) == [Decimal("-0.01")]
+
+
 def test_calendar_expressions(frame):
     day = datetime.date(2022, 1, 1)
     df = frame("d date", (day,))

@@ -54,7 +54,6 @@ def test_all_join_routes_agree(skewed, lookup, table, how):
     expected = expected_join(skewed[0], lookup[0], how)
     assert rows_of(joins.attach(left, right, "k", how)) == expected
     assert rows_of(joins.attach(left, right, "k", how, broadcast_limit=0)) == expected
-    assert rows_of(joins.attach(left, right, "k", how, bounded=True)) == expected
 
 
 def test_salted_join_rejects_other_kinds(skewed, lookup):
@@ -151,3 +150,21 @@ def test_row_counts_with_total(frame):
     df = frame("k int", (1,), (2,))
     counts = {r["table_name"]: r["row_count"] for r in row_counts({"a": df, "b": df.limit(0)}).collect()}
     assert counts == {"a": 2, "b": 0, "TOTAL": 2}
+
+
+def test_rows_without_a_key_survive_duplicate_removal(frame):
+    df = frame("k int, t int, v string", (None, 1, "a"), (None, 1, "a"), (1, 1, "a"), (1, 2, "b"), (2, 1, "c"))
+    left = sorted(map(tuple, latest_per_key(df, ["k"], ["t"]).collect()), key=str)
+    assert left == sorted([(None, 1, "a"), (None, 1, "a"), (1, 2, "b"), (2, 1, "c")], key=str)
+
+
+def test_single_keys_are_not_aggregated(frame):
+    df = frame("k int, t int, v string", (None, 1, "a"), (1, 1, "a"), (2, 1, "c"))
+    plan = latest_per_key(df, ["k"], ["t"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_duplicate_removal_beyond_the_broadcast_bound(frame, monkeypatch):
+    monkeypatch.setattr("tillwright.operators.dedup.FEW_KEYS", 0)
+    df = frame("k int, t int", (1, 1), (1, 3), (2, 5), (None, 7))
+    assert sorted(map(tuple, latest_per_key(df, ["k"], ["t"]).collect()), key=str) == [(1, 3), (2, 5), (None, 7)]

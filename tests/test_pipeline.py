@@ -173,7 +173,8 @@ def test_stream_alert_emits_closed_days_once(spark, tmp_path):
 def test_sizing_follows_the_input():
     small, large = sizing(10 * 2**30, cores=16), sizing(100 * 2**40, cores=8000)
     assert small["spark.sql.shuffle.partitions"] == "40"
-    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert large["spark.sql.shuffle.partitions"] == str(100 * 4096)
+    assert sizing(100 * 2**40, 8000, task_bytes=2**30)["spark.sql.shuffle.partitions"] == str(100 * 1024)
     assert sizing(1, cores=16)["spark.sql.shuffle.partitions"] == "32"
 
 

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwright.functions.bands import SegmentThresholds
+from tillwright.operators import joins
 from tillwright.plans import alerts, gold, quality, silver, views
 from tillwright.schemas import CUSTOMER, ITEM, STORE, TRANSACTION, silver_types
-from tillwright.sources.calendar import MAX_DAYS, calendar_between, calendar_over
+from tillwright.sources.calendar import calendar_between, calendar_over
 from tillwright.sources.flat_files import PROVENANCE, stamp
 
 D = Decimal
@@ -59,7 +60,6 @@ def tables(spark):
 def fact(tables):
     return gold.gold_fact_sales(
         tables["txns"], tables["customers"], tables["items"], tables["stores"], tables["calendar"],
-        bounded=["date_id"],
     )
 
 
@@ -269,8 +269,71 @@ def test_days_below_target(fact):
     assert datetime.date(2023, 12, 30) not in rows
 
 
-def test_calendar_refuses_a_stray_range(spark, frame):
-    long = frame("start date, end date", (datetime.date(1, 1, 1), datetime.date(9999, 12, 31)))
-    with pytest.raises(Exception, match=f"more than {MAX_DAYS} days"):
-        calendar_over(long).count()
-    assert calendar_over(long.limit(0)).count() == 0
+def test_calendar_covers_a_stray_date(spark, frame):
+    day = datetime.date
+    calendar = calendar_over(frame("start date, end date", (day(1995, 1, 1), day(9999, 12, 31))))
+    assert calendar.count() == (day(9999, 12, 31) - day(1995, 1, 1)).days + 1
+    assert not joins.fits_broadcast(calendar)
+    assert joins.fits_broadcast(calendar_between(spark, "1995-01-01", "2024-12-31"))
+    empty = frame("start date, end date", (None, None))
+    assert calendar_over(empty).count() == 0
+    assert calendar_over(empty.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_stray_date_joins_with_and_without_broadcast(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        calendar = calendar_between(spark, "1995-01-01", "9999-12-31")
+        lines = spark.sql("SELECT * FROM VALUES (1, 99991231), (2, 19950101), (3, 1) AS t(n, date_id)")
+        days = joins.attach(lines, calendar.select("date_id", "full_date"), "date_id")
+        found = {r["n"]: r["full_date"] for r in days.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {1: datetime.date(9999, 12, 31), 2: datetime.date(1995, 1, 1), 3: None}
+
+
+def test_customer_summary_joins_after_the_sums(tables):
+    small = gold.star_join(tables["txns"], {k: tables[n] for k, n in (("item_id", "items"), ("date_id", "calendar"))})
+    after = gold.gold_customer_summary_of(small, tables["customers"], AS_OF)
+    full = gold.gold_fact_sales(*(tables[n] for n in ("txns", "customers", "items", "stores", "calendar")))
+    before = gold.gold_customer_summary(full, AS_OF)
+    assert after.columns == before.columns
+    assert sorted(map(str, after.collect())) == sorted(map(str, before.collect()))
+
+
+def test_top_customers_are_joined_last(tables):
+    full = gold.gold_fact_sales(*(tables[n] for n in ("txns", "customers", "items", "stores", "calendar")))
+    small = gold.star_join(tables["txns"], {"date_id": tables["calendar"]})
+    late = views.top_customers_of(small, tables["customers"])
+    early = views.VIEWS["vw_top_customers"].over(full)
+    assert late.columns == early.columns
+    assert [str(r) for r in late.collect()] == [str(r) for r in early.collect()]
+
+
+def test_hot_keys_are_looked_for_without_a_join(spark, monkeypatch):
+    """With no broadcast at all, no table that is sampled for hot keys holds a join."""
+    from tillwright.registry import queries
+    from tillwright.sources.star import Star
+
+    sampled = []
+    plain = joins.hot_keys
+
+    def watched(df, keys, *args, **kwargs):
+        sampled.append(df._jdf.queryExecution().analyzed().toString())
+        return plain(df, keys, *args, **kwargs)
+
+    monkeypatch.setattr(joins, "hot_keys", watched)
+    monkeypatch.setattr(queries, "hot_keys", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("gold_fact_sales", "join_anti_orphans", "v2_revenue_by_category", "q8_region"):
+            queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sampled
+    lines = [text for text in sampled if "l_orderkey" in text or "o_orderkey" in text or "lineitem" in text]
+    assert lines and not any("Join" in text for text in lines)
+    assert Star(spark, "/root/testdata/sf0.001").repeated_keys == ()

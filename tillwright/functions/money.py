@@ -23,9 +23,8 @@ def cents(amount: Column) -> Column:
 
 
 def half_up(value: Column, digits: int) -> Column:
-    """Half-up rounding of a double by its decimal digits, so that binary noise in the last
-    place (42.62499999999999 for 42.625) does not decide the result."""
-    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+    """A double rounded once, half-up by its shortest decimal text."""
+    return F.round(value.cast("double"), digits)
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -44,8 +43,11 @@ def margin_percent(price: Column, cost: Column) -> Column:
 def line_profit(
     net: Column, quantity: Column, price: Column, cost_factor: str | float = STANDARD_COST_FACTOR
 ) -> Column:
-    """Net amount less the assumed cost of the goods, a flat share of their list price."""
-    return cents(net - quantity * price * rate(cost_factor))
+    """Net amount less the assumed cost of the goods, a flat share of their list price.
+
+    The list price keeps its four decimals, so the product with a rate of four is exact.
+    """
+    return cents(net - (quantity * price).cast("decimal(26,4)") * rate(cost_factor))
 
 
 def line_amounts(

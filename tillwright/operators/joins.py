@@ -29,9 +29,11 @@ BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 #: A key is hot once it holds this share of the rows, so at most 1 / share keys are hot.
 HOT_SHARE = 0.005
 
-#: Share of the rows looked at to find hot keys. Only the spread of work depends on it,
-#: never the result.
-HOT_SAMPLE = 0.001
+#: About how many rows are looked at to find hot keys, whatever the size of the table. Only the
+#: spread of work depends on it, never the result.
+HOT_ROWS = 200_000
+#: Bytes a stored row of keys takes at least; turns known sizes into a bound on rows.
+KEY_BYTES = 8
 
 
 def scanned_bytes(df: DataFrame) -> int | None:
@@ -43,8 +45,16 @@ def scanned_bytes(df: DataFrame) -> int | None:
     plan = getattr(df, "_jdf", None)
     if plan is None:
         return None
-    leaves = plan.queryExecution().analyzed().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    execution = plan.queryExecution()
+    leaves = [execution.analyzed().collectLeaves().apply(i) for i in range(execution.analyzed().collectLeaves().size())]
+    if any(leaf.nodeName() == "Range" for leaf in leaves):
+        # Generated rows have the width of the result, not that of the numbers they come from.
+        return max(int(execution.optimizedPlan().stats().sizeInBytes()), sum(_bytes(x) for x in leaves))
+    return sum(_bytes(leaf) for leaf in leaves)
+
+
+def _bytes(leaf) -> int:
+    return int(leaf.stats().sizeInBytes())
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
@@ -60,30 +70,35 @@ def attach(
     on: str,
     how: str = "left",
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
-    bounded: bool = False,
     hot: Mapping | None = None,
 ) -> DataFrame:
     """`left` joined with `lookup`; `how` is one of :data:`KINDS`.
 
-    `bounded` says that the lookup side enforces a size bound of its own, as the generated
-    calendar does, so that what it reads need not be small. `hot` gives hot keys found before,
-    with their shares; without it they are looked for where both sides must be shuffled.
+    `hot` gives hot keys found before, with their shares; without it they are looked for where both
+    sides must be shuffled, for which `left` should be a table before its joins.
     """
-    if bounded or fits_broadcast(lookup, broadcast_limit):
+    if fits_broadcast(lookup, broadcast_limit):
         return left.join(F.broadcast(lookup), on, how)
     if hot is None:
         hot = hot_keys(left, [on])[on]
     return salted_join(left, lookup, on, how, hot)
 
 
+def sample_share(df: DataFrame, rows: int = HOT_ROWS) -> float:
+    """A share of `df` that holds about `rows` rows or more, as far as its size is known."""
+    size = scanned_bytes(df)
+    return min(1.0, rows * KEY_BYTES * 8 / size) if size else 1.0
+
+
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, sample: float = HOT_SAMPLE
+    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, sample: float | None = None
 ) -> dict[str, dict]:
     """For each key column, its values holding at least `share` of the sampled rows.
 
     One job over the key columns alone, for all of them at once; at most 1 / share values per
     column reach the driver. Give it the table before its joins, so that none is run for this.
     """
+    sample = sample_share(df) if sample is None else sample
     everything = 2 ** len(keys) - 1
     sets = [[key] for key in keys]
     heaviest = (
@@ -108,6 +123,14 @@ def hot_keys(
     return found
 
 
+def hot_in_tables(tables: Mapping[str, DataFrame]) -> dict[str, dict]:
+    """Hot values of each key column in the table given for it; one job per different table."""
+    found: dict[str, dict] = {}
+    for table in {id(df): df for df in tables.values()}.values():
+        found |= hot_keys(table, [key for key, df in tables.items() if df is table])
+    return found
+
+
 def salted_join(
     left: DataFrame, lookup: DataFrame, on: str, how: str = "left", hot: Mapping | None = None
 ) -> DataFrame:
@@ -138,9 +161,11 @@ def salted_join(
     )
 
 
-def orphans(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+def orphans(
+    df: DataFrame, parent: DataFrame, key: str, hot: Mapping | None = None
+) -> DataFrame:
     """Rows of `df` whose key is missing from `parent`; a null key counts as missing."""
-    return attach(df, parent.select(key), key, "left_anti")
+    return attach(df, parent.select(key), key, "left_anti", hot=hot)
 
 
 def orphan_count(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Collection
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillwright.functions import bands, dates, money
 from tillwright.functions.measures import flagged, mean, total
 from tillwright.operators.audit import preview
-from tillwright.operators.joins import fits_broadcast, hot_keys, salted_join
+from tillwright.operators.joins import attach, fits_broadcast, hot_in_tables, salted_join
 
 # What the fact takes from each dimension, by the key it joins on.
 ATTRIBUTES = {
@@ -23,6 +23,7 @@ ATTRIBUTES = {
         "is_weekend", "is_holiday",
     ),
 }
+# Columns of the gold tables.
 KEYS = ("transaction_id", "customer_id", "item_id", "store_id", "date_id")
 MEASURES = (
     "quantity", "unit_price", "discount_pct", "discount_amount", "gross_amount",
@@ -36,17 +37,18 @@ CUSTOMER_KEYS = ("customer_id", *ATTRIBUTES["customer_id"])
 
 
 def star_join(
-    txns: DataFrame, dimensions: dict[str, DataFrame], bounded: Collection[str] = ()
+    txns: DataFrame, dimensions: dict[str, DataFrame], key_tables: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
     """Sales lines with the attributes of the given dimensions, keyed by join column.
 
-    Every line stays, with null attributes where a key has no dimension row. Hot keys of all
-    dimensions too large to broadcast are found in one pass before the first join. A query over the
-    fact may leave out dimensions it takes nothing from, provided their keys are unique.
+    Every line stays, with null attributes where a key has no dimension row. Hot keys of
+    dimensions too large to broadcast are looked for in `key_tables`, the tables that hold the key
+    columns before any join; without them in `txns`, which should then be a stored table. A query over
+    the fact may leave out dimensions it takes nothing from, provided their keys are unique.
     """
     fact = txns.select(*KEYS, *MEASURES, *LABELS)
-    large = [k for k, df in dimensions.items() if k not in bounded and not fits_broadcast(df)]
-    hot = hot_keys(fact, large) if large else {}
+    large = [k for k, df in dimensions.items() if not fits_broadcast(df)]
+    hot = hot_in_tables({k: (key_tables or {}).get(k, txns) for k in large})
     # Shuffled joins come first, while the rows are narrow.
     for key in sorted(dimensions, key=lambda k: k not in large):
         lookup = dimensions[key].select(key, *ATTRIBUTES[key])
@@ -59,18 +61,14 @@ def star_join(
 
 
 def gold_fact_sales(
-    txns: DataFrame,
-    customers: DataFrame,
-    items: DataFrame,
-    stores: DataFrame,
-    calendar: DataFrame,
-    bounded: Collection[str] = (),
+    txns: DataFrame, customers: DataFrame, items: DataFrame, stores: DataFrame, calendar: DataFrame,
+    key_tables: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One wide row per sales line."""
     dimensions = {
         "customer_id": customers, "item_id": items, "store_id": stores, "date_id": calendar
     }
-    return star_join(txns, dimensions, bounded)
+    return star_join(txns, dimensions, key_tables)
 
 
 def gold_sales_daily(fact: DataFrame) -> DataFrame:
@@ -122,7 +120,26 @@ def gold_customer_summary(
     thresholds: bands.SegmentThresholds = bands.SegmentThresholds(),
 ) -> DataFrame:
     """Recency, frequency and spend per customer; orders are counted as sales lines."""
-    summary = fact.groupBy(*CUSTOMER_KEYS).agg(
+    return _with_segment(_customer_sums(fact, CUSTOMER_KEYS), as_of, thresholds)
+
+
+def gold_customer_summary_of(
+    fact: DataFrame, customers: DataFrame, as_of: datetime.date | str | None = None,
+    thresholds: bands.SegmentThresholds = bands.SegmentThresholds(),
+) -> DataFrame:
+    """The same over a fact without customer attributes: sums per customer, then one row of each is joined.
+
+    Only for customers whose key is unique.
+    """
+    sums = _customer_sums(fact, ("customer_id",))
+    # One row per customer is left, so no key is hot.
+    named = attach(sums, customers.select(*CUSTOMER_KEYS), "customer_id", "left", hot={})
+    ordered = [*CUSTOMER_KEYS, *[c for c in sums.columns if c != "customer_id"]]
+    return _with_segment(named.select(*ordered), as_of, thresholds)
+
+
+def _customer_sums(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return fact.groupBy(*keys).agg(
         F.count("transaction_id").alias("total_orders"),
         total("total_amount").alias("total_spend"),
         mean("total_amount").alias("avg_order_value"),
@@ -132,6 +149,9 @@ def gold_customer_summary(
         flagged("return_flag").alias("total_returns"),
         F.count_distinct("category").alias("categories_bought"),
     )
+
+
+def _with_segment(summary: DataFrame, as_of, thresholds: bands.SegmentThresholds) -> DataFrame:
     last, first = F.col("last_purchase_date"), F.col("first_purchase_date")
     return summary.withColumns({
         "days_since_purchase": dates.days_between(dates.as_of_date(as_of), last),

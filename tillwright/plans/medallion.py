@@ -64,15 +64,18 @@ def load_bronze(
 ) -> int:
     """One source file into its bronze table; returns the rows loaded.
 
-    By default the table is replaced. With `append` it grows by one `_batch_date` partition.
+    By default the table is replaced. With `append` the batch becomes its `_batch_date` partition:
+    other days stay, and a load of the same day again takes the place of the first.
     """
     file_name = FILE_NAMES[table]
     rows = read_flat_file(
         lake.spark, f"{raw_dir.rstrip('/')}/{file_name}", SOURCES[table], keep_corrupt
     )
+    batch_ts = batch_ts or datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
+    batch_date = batch_date or batch_ts.date()
     stamped = stamp(rows, file_name, batch_ts, batch_date)
     if append:
-        return lake.write(stamped, f"bronze_{table}", "append", partition_by=["_batch_date"])
+        return lake.replace_partition(stamped, f"bronze_{table}", "_batch_date", batch_date)
     return lake.write(stamped, f"bronze_{table}")
 
 
@@ -156,13 +159,18 @@ def run_medallion(
     rules: tuple[quality.Rule, ...] = quality.STANDARD_RULES,
     partition_by: tuple[str, ...] = (),
     catalog_views: bool = True,
+    append: bool = False,
 ) -> RunResult:
-    """Runs every stage. A failed check stops the job before gold, unless `gate` is off."""
+    """Runs every stage. A failed check stops the job before gold, unless `gate` is off.
+
+    With `append` the files are one more batch: bronze keeps the batches of other days, and silver
+    takes the latest row of each business key over all of them.
+    """
     lake.create()
-    batch_ts = batch_ts or datetime.datetime.now()
+    batch_ts = batch_ts or datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
     result = RunResult()
-    result.rows.update(load_all_bronze(lake, raw_dir, batch_ts))
-    result.rows.update(build_silver(lake, as_of, dedup=dedup))
+    result.rows.update(load_all_bronze(lake, raw_dir, batch_ts, append))
+    result.rows.update(build_silver(lake, as_of, dedup=dedup or append))
     checks = quality.report(silver_tables(lake), rules)
     lake.write(checks, "quality_report")
     result.failed_checks = quality.enforce(lake.read("quality_report"), blocking=gate)

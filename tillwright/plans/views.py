@@ -22,7 +22,7 @@ def _total(column: str) -> str:
 
 
 def _half_up(value: str, digits: int) -> str:
-    return f"CAST(ROUND(CAST({value} AS DECIMAL(38, 10)), {digits}) AS DOUBLE)"
+    return f"ROUND(CAST({value} AS DOUBLE), {digits})"
 
 
 def _ratio(part: str, whole: str, scale: int = 1, digits: int = 2) -> str:
@@ -95,6 +95,7 @@ class View:
         return fact.sparkSession.sql(self.sql("{fact}", stored), fact=fact)
 
 
+# Names and columns of the published views.
 VIEWS = {
     "vw_executive_kpis": View((), {
         "total_transactions": SALES, "unique_customers": CUSTOMERS, "total_revenue": REVENUE,
@@ -149,6 +150,21 @@ _REGION = View(("region",), {
 })
 
 
+def top_customers_of(fact: DataFrame, customers: DataFrame) -> DataFrame:
+    """Top customers over a fact without customer attributes: only the customers left are joined.
+
+    Only for customers whose key is unique; then the key alone breaks ties.
+    """
+    view = VIEWS["vw_top_customers"]
+    best = View(("customer_id",), view.measures, ("total_spend DESC", "customer_id"), view.limit)
+    ranked = best.over(fact)
+    rows = ranked.collect()  # `limit` rows at most
+    found = fact.sparkSession.createDataFrame(rows, ranked.schema)
+    named = customers.select(*view.keys).where(F.col("customer_id").isin([r["customer_id"] for r in rows]))
+    joined = found.join(named, "customer_id", "left").select(*view.keys, *view.measures)
+    return joined.orderBy(F.desc("total_spend"), "customer_id")
+
+
 def create_temp_views(fact: DataFrame, stored: bool = False) -> None:
     """The views as temporary views of the session, over any DataFrame of the fact."""
     for name, view in VIEWS.items():

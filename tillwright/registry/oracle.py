@@ -6,6 +6,7 @@ checked against one that does not.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 D2 = "DECIMAL(18, 2)"
@@ -13,8 +14,9 @@ AS_OF = "DATE '2001-08-02'"
 
 
 def _round(value: str, digits: int) -> str:
-    """Half-up on decimal digits."""
-    return f"CAST(ROUND(CAST({value} AS DECIMAL(38, 10)), {digits}) AS DOUBLE)"
+    """Half-up on the shortest text of the double; text has 17 digits at most."""
+    text = f"CAST(CAST({value} AS DOUBLE) AS VARCHAR)"
+    return f"CAST(ROUND(CAST({text} AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
 def _ratio(part: str, whole: str) -> str:
@@ -540,3 +542,76 @@ FROM (
 WHERE total_revenue < 3000
   AND full_date + INTERVAL 2 DAY <= (SELECT MAX(ts) FROM events WHERE event_type = 'purchase')""",
 }
+
+
+def _placed(keys: str, select: str, order: str) -> str:
+    return f"SELECT {keys}, CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS INT) AS place FROM ({select})"
+
+
+_CHANNEL = f"SELECT channel, {_REV} AS revenue FROM fact GROUP BY channel"
+_REGION = f"SELECT region, {_REV} AS total_revenue FROM fact GROUP BY region"
+
+# Lines of which some name a customer, item, store or day that is not there.
+_LOST = {"customer_id": ("NULL", 0), "item_id": ("-1", 1), "store_id": ("-1", 2), "date_id": ("-1", 3)}
+_LOST_KEYS = ", ".join(
+    f"CASE WHEN transaction_id % 7 = {rest} THEN {value} ELSE {key} END AS {key}"
+    for key, (value, rest) in _LOST.items()
+)
+_SOUND = re.sub(r"^(customers|items|txns) AS", r"sound_\1 AS", _STAR, flags=re.MULTILINE)
+_PLANTED = f"""{_SOUND},
+customers AS (SELECT * REPLACE (CASE WHEN customer_id % 5 <> 0 THEN email END AS email,
+                                CASE WHEN customer_id % 9 = 0 THEN 17 ELSE age END AS age) FROM sound_customers),
+items AS (SELECT * REPLACE (CASE WHEN item_id % 4 <> 0 THEN category END AS category,
+                            CASE WHEN item_id % 6 = 0 THEN 0 ELSE unit_price END AS unit_price) FROM sound_items),
+txns AS (SELECT * REPLACE ({_LOST_KEYS}, CASE WHEN transaction_id % 11 = 0 THEN 0 ELSE quantity END AS quantity,
+                           CASE WHEN transaction_id % 13 = 0 THEN 2 ELSE discount_pct END AS discount_pct)
+         FROM sound_txns)"""
+
+ORACLE |= {
+    "catalog_executive_kpis": ORACLE["v1_executive_kpis"],
+    "catalog_revenue_by_category": ORACLE["v2_revenue_by_category"],
+    "catalog_monthly_trend": ORACLE["v3_monthly_trend"],
+    "catalog_top_customers": ORACLE["v4_top_customers"],
+    "catalog_store_performance": ORACLE["v5_store_performance"],
+    "order_sales_daily": _with(_FACT, _placed("full_date", _DAILY, "full_date")),
+    "order_mom_growth": _with(_FACT, _placed("year, month", _TREND, "year, month")),
+    "order_channel": _with(_FACT, _placed("channel", _CHANNEL, "revenue DESC, channel")),
+    "order_region": _with(_FACT, _placed("region", _REGION, "total_revenue DESC, region")),
+    "join_left_orphans": _with(_STAR, f"""SELECT c.full_name IS NULL AS no_customer,
+       i.item_name IS NULL AS no_item, s.store_name IS NULL AS no_store, d.day_name IS NULL AS no_day,
+       COUNT(*) AS lines, CAST(SUM(total_amount) AS DOUBLE) AS revenue
+FROM (SELECT * REPLACE ({_LOST_KEYS}) FROM txns) t
+LEFT JOIN customers c ON t.customer_id = c.customer_id LEFT JOIN items i ON t.item_id = i.item_id
+LEFT JOIN stores s ON t.store_id = s.store_id LEFT JOIN calendar d ON t.date_id = d.date_id
+GROUP BY ALL"""),
+    "dq_planted": _with(_PLANTED, _FULL_REPORT),
+    "silver_bad_text": f"""SELECT s_suppkey AS store_id,
+       CASE WHEN s_suppkey % 2 <> 0 THEN CAST(2000 + (s_suppkey * 37) % 18001 AS INT) END AS sq_footage,
+       CASE WHEN s_suppkey % 3 <> 0 THEN DATE '1990-01-01' + CAST(s_suppkey % 3653 AS INT) END AS open_date,
+       CASE WHEN s_suppkey % 5 <> 0 THEN true END AS is_active, CAST(13 AS INT) AS width
+FROM supplier""",
+    "dedup_null_keys": _with(_TXNS, f"""SELECT transaction_id, date_id, {_doubles("total_amount")},
+       item_id, store_id, quantity
+FROM (SELECT * REPLACE (CASE WHEN transaction_id % 4 <> 0 THEN transaction_id END AS transaction_id) FROM txns)
+QUALIFY transaction_id IS NULL OR ROW_NUMBER() OVER (
+  PARTITION BY transaction_id
+  ORDER BY date_id DESC, total_amount DESC, item_id DESC, store_id DESC, quantity DESC) = 1"""),
+    "fn_profit_four_digits": _with(_txns(cost_factor="0.5531"), f"""SELECT transaction_id, item_id,
+       {_doubles("net_amount", "profit_amount")}
+FROM txns"""),
+    "medallion_append": f"""WITH {_CALENDAR}, parts AS (
+  SELECT 'bronze 2001-08-02' AS part, COUNT(DISTINCT l_orderkey) FILTER (l_orderkey % 20 = 0) AS row_count
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  UNION ALL SELECT 'bronze 2001-08-03', COUNT(DISTINCT l_orderkey) FILTER (l_orderkey % 20 = 10)
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+silver AS (
+  SELECT 'silver_customer_dim' AS part, COUNT(*) AS row_count FROM customer
+  UNION ALL SELECT 'silver_item_dim', COUNT(*) FROM part
+  UNION ALL SELECT 'silver_store_dim', COUNT(*) FROM supplier
+  UNION ALL SELECT 'silver_time_dim', COUNT(*) FROM calendar
+  UNION ALL SELECT 'silver_transactions', CAST(SUM(row_count) AS BIGINT) FROM parts)
+SELECT * FROM parts UNION ALL SELECT * FROM silver
+UNION ALL SELECT 'TOTAL', CAST(SUM(row_count) AS BIGINT) FROM silver
+UNION ALL SELECT 'new managers', COUNT(*) FROM supplier WHERE s_suppkey % 2 = 0""",
+    "medallion_columns": ORACLE["gold_customer_summary"],
+}

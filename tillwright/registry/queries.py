@@ -6,7 +6,7 @@ import datetime
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -15,8 +15,8 @@ from tillwright.functions.casting import parse_date, parse_flag, typed_columns
 from tillwright.functions.measures import flagged, mean, total
 from tillwright.operators.audit import preview, row_counts
 from tillwright.operators.dedup import distinct_values, latest_per_key
-from tillwright.operators.joins import orphans
-from tillwright.plans import alerts, gold, medallion, quality, views
+from tillwright.operators.joins import fits_broadcast, hot_keys, orphans
+from tillwright.plans import alerts, gold, medallion, quality, silver, views
 from tillwright.schemas import FILE_NAMES, SOURCES, silver_types
 from tillwright.session import work_dir
 from tillwright.sources.calendar import calendar_between
@@ -59,13 +59,15 @@ def query(make: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
 
 
 def _fact(star: Star, *keys: str) -> DataFrame:
-    """The sales fact with the dimensions a query needs (their keys are unique here)."""
+    """The sales fact with the dimensions a query needs, and with any that repeats a key, since
+    that multiplies lines."""
     tables = star.silver(AS_OF)
     names = {
         "customer_id": "customers", "item_id": "items", "store_id": "stores", "date_id": "calendar"
     }
-    dimensions = {key: tables[names[key]] for key in keys}
-    return gold.star_join(tables["txns"], dimensions, bounded=["date_id"])
+    needed = [key for key in names if key in keys or key in star.repeated_keys]
+    dimensions = {key: tables[names[key]] for key in needed}
+    return gold.star_join(tables["txns"], dimensions, star.key_tables)
 
 
 def _lake(star: Star, purpose: str) -> Lake:
@@ -308,7 +310,9 @@ def join_left_calendar(star: Star) -> DataFrame:
 def join_anti_orphans(star: Star) -> DataFrame:
     """Sales of customers that are not active."""
     active = star.customers.where(F.col("is_active") == "Y")
-    return orphans(star.transactions, active, "customer_id").select(
+    hot = {} if fits_broadcast(active) else hot_keys(star.key_tables["customer_id"], ["customer_id"])
+    lost = orphans(star.transactions, active, "customer_id", hot.get("customer_id", {}))
+    return lost.select(
         "transaction_id", "customer_id", "item_id", "total_amount"
     )
 
@@ -438,8 +442,12 @@ def gold_sales_by_category(star: Star) -> DataFrame:
 
 @query
 def gold_customer_summary(star: Star) -> DataFrame:
-    fact = _fact(star, "customer_id", "item_id", "date_id")
-    return gold.gold_customer_summary(fact, AS_OF, SEGMENTS)
+    """Customers are joined to the sums; a repeated customer key would need them joined to the lines."""
+    if "customer_id" in star.repeated_keys:
+        fact = _fact(star, "customer_id", "item_id", "date_id")
+        return gold.gold_customer_summary(fact, AS_OF, SEGMENTS)
+    customers = star.silver(AS_OF)["customers"]
+    return gold.gold_customer_summary_of(_fact(star, "item_id", "date_id"), customers, AS_OF, SEGMENTS)
 
 
 # ---- views and analytics queries ---------------------------------------------------------
@@ -462,7 +470,10 @@ def v3_monthly_trend(star: Star) -> DataFrame:
 
 @query
 def v4_top_customers(star: Star) -> DataFrame:
-    return views.VIEWS["vw_top_customers"].over(_fact(star, "customer_id", "date_id"))
+    """Customers are joined to the fifty that are left."""
+    if "customer_id" in star.repeated_keys:
+        return views.VIEWS["vw_top_customers"].over(_fact(star, "customer_id", "date_id"))
+    return views.top_customers_of(_fact(star, "date_id"), star.silver(AS_OF)["customers"])
 
 
 @query
@@ -510,11 +521,173 @@ def q8_region(star: Star) -> DataFrame:
     return views.regional_performance(_fact(star, "store_id"))
 
 
+def _catalog(star: Star) -> Lake:
+    """The fact joined with all dimensions, written once per session and folder, under its views."""
+    known = (star.spark.sparkContext.applicationId, star.folder)
+    if known not in _catalogs:
+        tables = star.silver(AS_OF)
+        fact = gold.gold_fact_sales(
+            tables["txns"], tables["customers"], tables["items"], tables["stores"],
+            tables["calendar"], star.key_tables,
+        )
+        lake = _lake(star, "views")
+        lake.write(fact, views.FACT)
+        views.create_catalog_views(star.spark, lake.database)
+        _catalogs[known] = lake
+    return _catalogs[known]
+
+
+_catalogs: dict[tuple[str, str], Lake] = {}
+
+
+@query
+def catalog_executive_kpis(star: Star) -> DataFrame:
+    return _catalog(star).read("vw_executive_kpis")
+
+
+@query
+def catalog_revenue_by_category(star: Star) -> DataFrame:
+    return _catalog(star).read("vw_revenue_by_category")
+
+
+@query
+def catalog_monthly_trend(star: Star) -> DataFrame:
+    return _catalog(star).read("vw_monthly_trend")
+
+
+@query
+def catalog_top_customers(star: Star) -> DataFrame:
+    return _catalog(star).read("vw_top_customers")
+
+
+@query
+def catalog_store_performance(star: Star) -> DataFrame:
+    return _catalog(star).read("vw_store_performance")
+
+
+# ---- order of rows, orphans, planted violations ---------------------------------------------
+
+
+def _numbered(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows as they come, with their place; `df` is sorted, so its partitions are in order."""
+    placed = df.select(*columns).withColumn("_at", F.monotonically_increasing_id())
+    return placed.withColumn("place", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+
+
+@query
+def order_sales_daily(star: Star) -> DataFrame:
+    return _numbered(gold.gold_sales_daily(_fact(star, "date_id")), "full_date")
+
+
+@query
+def order_mom_growth(star: Star) -> DataFrame:
+    return _numbered(q3_mom_growth(star), "year", "month")
+
+
+@query
+def order_channel(star: Star) -> DataFrame:
+    return _numbered(q4_channel(star), "channel")
+
+
+@query
+def order_region(star: Star) -> DataFrame:
+    return _numbered(q8_region(star), "region")
+
+
+def _with_orphans(star: Star) -> DataFrame:
+    """Sales lines of which some name no customer, or a customer, item, store or day that is not there."""
+    number = F.col("transaction_id")
+    lost = {"customer_id": 0, "item_id": 1, "store_id": 2, "date_id": 3}
+    return star.silver(AS_OF)["txns"].withColumns({
+        key: F.when(number % 7 == rest, None if key == "customer_id" else -1).otherwise(F.col(key))
+        for key, rest in lost.items()
+    })
+
+
+@query
+def join_left_orphans(star: Star) -> DataFrame:
+    """Every line stays, with nulls where a dimension has no row for it."""
+    tables = star.silver(AS_OF)
+    fact = gold.gold_fact_sales(
+        _with_orphans(star), tables["customers"], tables["items"], tables["stores"],
+        tables["calendar"], star.key_tables,
+    )
+    return fact.groupBy(
+        F.col("full_name").isNull().alias("no_customer"), F.col("item_name").isNull().alias("no_item"),
+        F.col("store_name").isNull().alias("no_store"), F.col("day_name").isNull().alias("no_day"),
+    ).agg(F.count(F.lit(1)).alias("lines"), total("total_amount").alias("revenue"))
+
+
+@query
+def dq_planted(star: Star) -> DataFrame:
+    """Standard rules over rows that break each of them."""
+    tables = dict(star.silver(AS_OF))
+    key = F.col("customer_id")
+    tables["customers"] = tables["customers"].withColumns({
+        "email": F.when(key % 5 != 0, F.col("email")), "age": F.when(key % 9 == 0, 17).otherwise(F.col("age")),
+    })
+    tables["items"] = tables["items"].withColumns({
+        "category": F.when(F.col("item_id") % 4 != 0, F.col("category")),
+        "unit_price": F.when(F.col("item_id") % 6 == 0, 0).otherwise(F.col("unit_price")),
+    })
+    tables["txns"] = _with_orphans(star).withColumns({
+        "quantity": F.when(F.col("transaction_id") % 11 == 0, 0).otherwise(F.col("quantity")),
+        "discount_pct": F.when(F.col("transaction_id") % 13 == 0, 2).otherwise(F.col("discount_pct")),
+    })
+    return quality.report(tables)
+
+
+@query
+def silver_bad_text(star: Star) -> DataFrame:
+    """Text that does not parse becomes null, and provenance columns go."""
+    bad = star.stores.select(*[F.col(c).cast("string") for c in star.stores.columns]).withColumns({
+        "sq_footage": F.when(F.col("store_id") % 2 == 0, "n/a").otherwise(F.col("sq_footage")),
+        "open_date": F.when(F.col("store_id") % 3 == 0, "soon").otherwise(F.col("open_date")),
+        "is_active": F.when(F.col("store_id") % 5 == 0, "?").otherwise(F.col("is_active")),
+    })
+    refined = silver.silver_store(stamp(bad, FILE_NAMES["store_dim"], BATCH_TS), AS_OF)
+    return refined.select("store_id", "sq_footage", "open_date", "is_active", F.lit(len(refined.columns)).alias("width"))
+
+
+@query
+def dedup_null_keys(star: Star) -> DataFrame:
+    """Rows without a key all stay."""
+    lines = star.transactions.select(
+        F.when(F.col("transaction_id") % 4 != 0, F.col("transaction_id")).alias("transaction_id"),
+        "date_id", "total_amount", "item_id", "store_id", "quantity",
+    )
+    return latest_per_key(lines, ["transaction_id"], ["date_id", "total_amount"])
+
+
+@query
+def fn_profit_four_digits(star: Star) -> DataFrame:
+    profit = money.line_profit(F.col("net_amount"), F.col("quantity"), F.col("unit_price"), "0.5531")
+    return star.transactions.select(
+        "transaction_id", "item_id", "net_amount", profit.alias("profit_amount")
+    )
+
+
 # ---- data quality ------------------------------------------------------------------------
 
 
+def _stored(star: Star) -> dict[str, DataFrame]:
+    """Silver tables, the sales lines written once with the columns that rules look at.
+
+    The checks go over the lines several times; that way their join is worked out once.
+    """
+    tables = dict(star.silver(AS_OF))
+    columns = [*gold.KEYS, "total_amount", "quantity", "discount_pct"]
+    path = work_dir(star.spark, "checked-lines")
+    lines = tables["txns"].select(*columns)
+    lines.write.parquet(path)
+    return {**tables, "txns": star.spark.read.schema(lines.schema).parquet(path)}
+
+
 def _report(star: Star, keep: Callable[[quality.Rule], bool] = lambda rule: True) -> DataFrame:
-    return quality.report(star.silver(AS_OF), [r for r in quality.STANDARD_RULES if keep(r)])
+    rules = [r for r in quality.STANDARD_RULES if keep(r)]
+    over_lines = [r for r in rules if r.table == "txns"]
+    tables = _stored(star) if len(over_lines) > 1 else star.silver(AS_OF)
+    return quality.report(tables, rules)
 
 
 def _checks(*endings: str) -> Callable[[quality.Rule], bool]:
@@ -554,7 +727,7 @@ def dq_unique(star: Star) -> DataFrame:
 @query
 def dq_ref_integrity(star: Star) -> DataFrame:
     """The three standard references, and one against active customers that must fail."""
-    tables = dict(star.silver(AS_OF))
+    tables = _stored(star)
     tables["active"] = tables["customers"].where("is_active")
     rules = [r for r in quality.STANDARD_RULES if isinstance(r, quality.ReferenceRule)]
     rules.append(quality.ReferenceRule("customer_id active", "txns", "customer_id", "active"))
@@ -608,6 +781,47 @@ def medallion_e2e(star: Star) -> DataFrame:
     return medallion.reconciliation(lake)
 
 
+@query
+def medallion_append(star: Star) -> DataFrame:
+    """Two daily batches and a second run of the later one: the latest row of each key, once."""
+    lake = _lake(star, "batches")
+    raw_dir = work_dir(star.spark, "batch-files")
+    small = star.transactions.where(F.col("transaction_id") % 10 == 0).dropDuplicates(["transaction_id"])
+    first = {**star.raw(), "transactions": small.where(F.col("transaction_id") % 20 == 0)}
+    changed = star.stores.withColumn("manager_name", F.lit("New manager")).where(F.col("store_id") % 2 == 0)
+    second = {**star.raw(), "transactions": small.where(F.col("transaction_id") % 20 != 0), "store_dim": changed}
+    days = (BATCH_TS, BATCH_TS + datetime.timedelta(days=1))
+    for number, (batch, day) in enumerate(zip((first, second, second), (*days, days[1]), strict=True)):
+        for table, df in batch.items():
+            write_flat_file(df, f"{raw_dir}/{number}/{FILE_NAMES[table]}")
+        medallion.run_medallion(
+            lake, f"{raw_dir}/{number}", as_of=AS_OF, gate=False, batch_ts=day, append=True,
+            catalog_views=False,
+        )
+    bronze = lake.read("bronze_transactions").groupBy("_batch_date").count()
+    new = lake.read("silver_store_dim").where("manager_name = 'New manager'")
+    return (
+        bronze.select(F.concat(F.lit("bronze "), F.col("_batch_date").cast("string")).alias("part"),
+                      F.col("count").alias("row_count"))
+        .unionByName(medallion.layer_audit(lake, "silver").select(F.col("table_name").alias("part"), "row_count"))
+        .unionByName(new.agg(F.lit("new managers").alias("part"), F.count(F.lit(1)).alias("row_count")))
+    )
+
+
+@query
+def medallion_columns(star: Star) -> DataFrame:
+    """Columns of written silver and gold tables, per category and customer."""
+    raw_dir = work_dir(star.spark, "column-files")
+    for table, df in star.raw().items():
+        write_flat_file(df, f"{raw_dir}/{FILE_NAMES[table]}")
+    lake = _lake(star, "columns")
+    medallion.run_medallion(
+        lake, raw_dir, as_of=AS_OF, gate=False, batch_ts=BATCH_TS, thresholds=SEGMENTS,
+        catalog_views=False,
+    )
+    return lake.read("gold_customer_summary")
+
+
 @query
 def alert_daily_revenue(star: Star) -> DataFrame:
     daily = gold.gold_sales_daily(_fact(star, "date_id"))

@@ -27,6 +27,7 @@ def _struct(columns: dict) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
+# Columns of the source files.
 CUSTOMER = _struct({
     "customer_id": KEY, "first_name": _TEXT, "last_name": _TEXT, "full_name": _TEXT,
     "email": _TEXT, "phone": _TEXT, "city": _TEXT, "state": _TEXT, "country": _TEXT,

@@ -21,6 +21,7 @@ SETTINGS = {
 }
 
 _local_work_dirs: dict[str, str] = {}
+_made: dict[str, tuple[SparkSession, list[str]]] = {}
 
 
 def build_session(app: str = "tillwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,19 +51,43 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             base = tempfile.mkdtemp(prefix="tillwright-")
             atexit.register(shutil.rmtree, base, ignore_errors=True)
             _local_work_dirs[context.applicationId] = base
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    if application not in _made:
+        _made[application] = (spark, [])
+        atexit.register(clear_work, application)
+    _made[application][1].append(path)
+    return path
 
 
-def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+def clear_work(application: str) -> None:
+    """Drops the databases over, and removes, the work folders that an application was given.
+
+    Runs at the end of the process, or earlier by hand; nothing is left to do once the session
+    has ended.
+    """
+    spark, paths = _made.pop(application, (None, []))
+    context = None if spark is None else spark.sparkContext
+    if context is None or context._jsc is None or context._jsc.sc().isStopped():
+        return
+    for database in spark.catalog.listDatabases():
+        if any(database.locationUri.rstrip("/").endswith(path.split("://")[-1].rstrip("/")) for path in paths):
+            spark.sql(f"DROP DATABASE IF EXISTS {database.name} CASCADE")
+    for path in paths:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def sizing(
+    input_bytes: int, cores: int, task_bytes: int = 256 * 2**20, split_bytes: int = 128 * 2**20
+) -> dict[str, str]:
     """Partition settings for a job that reads `input_bytes` on `cores` cores.
 
-    About 256 MB of shuffle data per task, at least two tasks per core so that none idles, and
-    larger scan splits once 128 MB ones would make more tasks than the driver should track.
-    Adaptive execution merges what turns out small.
+    About `task_bytes` of shuffle data per task at any size, and at least two tasks per core so that
+    none idles; scans read `split_bytes` per task. Larger values mean fewer tasks for the
+    driver to track. Adaptive execution merges what turns out small.
     """
-    split = 128 * 2**20 if input_bytes < 20 * 2**40 else 512 * 2**20
-    partitions = min(100_000, max(2 * cores, input_bytes // (256 * 2**20)))
     return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(max(2 * cores, -(-input_bytes // task_bytes))),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
     }

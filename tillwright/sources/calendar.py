@@ -9,34 +9,24 @@ from pyspark.sql import functions as F
 
 from tillwright.functions import dates
 
-#: Longest range a calendar may cover; four centuries.
-MAX_DAYS = 146_097
-
 
 def calendar_between(
-    spark: SparkSession, start: datetime.date | str, end: datetime.date | str
+    spark: SparkSession, start: datetime.date | str | None, end: datetime.date | str | None
 ) -> DataFrame:
-    """Calendar of a fixed range of days, both ends included."""
-    bounds = spark.range(1).select(
-        F.lit(str(start)).cast("date").alias("start"), F.lit(str(end)).cast("date").alias("end")
-    )
-    return calendar_over(bounds)
-
-
-def calendar_over(bounds: DataFrame) -> DataFrame:
-    """Calendar from the one row `(start, end)` of `bounds`, in the source file's columns.
+    """Calendar of a fixed range of days, both ends included; empty without bounds.
 
-    Its size depends on the days covered only, not on the rows of the sales table, and a range
-    beyond :data:`MAX_DAYS` (a stray date in the data) is an error: the result can always be
-    broadcast.
+    The days come from a range whose length the plan knows, so a join can tell whether the
+    calendar is small enough to broadcast, however far apart the ends lie.
     """
+    count = 0
+    if start is not None and end is not None:
+        first, last = (datetime.date.fromisoformat(str(d)) for d in (start, end))
+        count = max(0, (last - first).days + 1)
     day = F.col("full_date")
-    too_long = F.datediff("end", "start") >= MAX_DAYS
-    days = F.sequence("start", "end", F.expr("INTERVAL 1 DAY"))
-    checked = F.when(
-        too_long, F.raise_error(F.lit(f"calendar would cover more than {MAX_DAYS} days"))
-    ).otherwise(days)
-    return bounds.select(F.explode(checked).alias("full_date")).select(
+    days = spark.range(count).select(
+        F.date_add(F.lit(str(start)).cast("date"), F.col("id").cast("int")).alias("full_date")
+    )
+    return days.select(
         dates.date_key(day).alias("date_id"),
         day,
         F.dayofmonth(day).alias("day"),
@@ -51,3 +41,9 @@ def calendar_over(bounds: DataFrame) -> DataFrame:
         dates.yes_no(dates.is_fixed_holiday(day)).alias("is_holiday"),
         dates.fiscal_quarter(day).alias("fiscal_quarter"),
     )
+
+
+def calendar_over(bounds: DataFrame) -> DataFrame:
+    """Calendar from the one row `(start, end)` of `bounds`, which is read right away."""
+    start, end = bounds.select("start", "end").first() or (None, None)
+    return calendar_between(bounds.sparkSession, start, end)

@@ -40,10 +40,10 @@ def stamp(
     batch_date: datetime.date | None = None,
 ) -> DataFrame:
     """Provenance columns. Given values make a load repeatable; the default is the clock."""
-    batch_ts = batch_ts or datetime.datetime.now()
+    batch_ts = batch_ts or datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
     return df.withColumns({
         "_source_file": F.lit(source_file),
-        "_ingested_at": F.lit(batch_ts.isoformat(sep=" ", timespec="seconds")).cast("timestamp"),
+        "_ingested_at": F.lit(batch_ts.isoformat(sep=" ", timespec="microseconds")).cast("timestamp"),
         "_batch_date": F.lit(str(batch_date or batch_ts.date())).cast("date"),
     })
 

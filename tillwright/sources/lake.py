@@ -32,6 +32,22 @@ class Lake:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def replace_partition(self, df: DataFrame, table: str, column: str, value) -> int:
+        """Puts the rows of `df`, all with `value` in `column`, in place of that partition.
+
+        Other partitions stay, so a repeated load of one batch leaves the table as the first did.
+        """
+        if not self.spark.catalog.tableExists(self.name(table)):
+            return self.write(df, table, partition_by=[column])
+        counted = Observation()
+        columns = [c for c in self.read(table).columns if c != column]
+        rows = df.select(*columns).hint("rebalance").observe(counted, F.count(F.lit(1)).alias("rows"))
+        self.spark.sql(
+            f"INSERT OVERWRITE {self.name(table)} PARTITION ({column} = '{value}') SELECT * FROM {{rows}}",
+            rows=rows,
+        )
+        return counted.get["rows"]
+
     def write(
         self,
         df: DataFrame,

@@ -99,6 +99,9 @@ def _day_offset(first: str, number: Column, days: int) -> Column:
     return F.date_add(F.lit(first).cast("date"), (number % days).cast("int"))
 
 
+_repeated: dict[tuple[str, str], tuple[str, ...]] = {}
+
+
 class Star:
     """Source-shaped ("raw") and silver tables over one folder of order tables."""
 
@@ -186,11 +189,38 @@ class Star:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        """Every day from the first to the last order."""
+        """Every day from the first to the last order; the two are read when it is asked for."""
         day = F.col("o_orderdate").cast("date")
         bounds = self.table("orders").agg(F.min(day).alias("start"), F.max(day).alias("end"))
         return calendar_over(bounds).to(CALENDAR)
 
+    @cached_property
+    def key_tables(self) -> dict[str, DataFrame]:
+        """Per key of a sales line the table that holds it before any join."""
+        lines = self.table("lineitem").select(
+            F.col("l_partkey").alias("item_id"), F.col("l_suppkey").alias("store_id")
+        )
+        orders = self.table("orders").select(
+            F.col("o_custkey").alias("customer_id"),
+            date_key(F.col("o_orderdate").cast("date")).alias("date_id"),
+        )
+        return {"item_id": lines, "store_id": lines, "customer_id": orders, "date_id": orders}
+
+    @cached_property
+    def repeated_keys(self) -> tuple[str, ...]:
+        """Keys that some dimension holds more than once; looked for once per session and folder."""
+        known = (self.spark.sparkContext.applicationId, self.folder)
+        if known not in _repeated:
+            tables = {
+                "customer_id": self.customers, "item_id": self.items, "store_id": self.stores,
+                "date_id": self.calendar,
+            }
+            _repeated[known] = tuple(
+                key for key, df in tables.items()
+                if not df.groupBy(key).count().where("count > 1").isEmpty()
+            )
+        return _repeated[known]
+
     @cached_property
     def order_lines(self) -> DataFrame:
         """Order lines with their order, in retail types."""
