@@ -16,8 +16,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
+from operator import itemgetter
 
 import pyarrow as pa
 import regex
@@ -25,11 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.chunks import CHUNK, OTHER_SPACE, PART, parts
+from tillwright.llm.chunks import CHUNK, OTHER_SPACE, PART, WORD, marks_apart, parts
 from tillwright.llm.common import arrived, shipped, whole
 
-#: Chunks in each of the two generations that a task remembers; half as many pre-tokens.
+#: Strings in each of the two generations that a task remembers.
 MEMO = 600_000
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a file of lines `base64 rank`."""
     with open(path, "rb") as file:
@@ -100,31 +103,27 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     rank = ranks.get
     end = list(range(1, n + 2))
     before = list(range(-1, n))
-    heap = []
-    for i in range(n - 1):
-        r = rank(piece[i : i + 2])
-        if r is not None:
-            heap.append((r, i, i + 2))
+    heap = [
+        (r, i, i + 2) for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None
+    ]
     heapq.heapify(heap)
     pop, push = heapq.heappop, heapq.heappush
     while heap:
         _, i, stop = pop(heap)
         middle = end[i]
-        if middle < 0 or middle >= n or end[middle] != stop:
+        # Gone parts end at 0; the last part has no next one.
+        if not 0 < middle < n or end[middle] != stop:
             continue
-        end[middle] = -1  # gone
+        end[middle] = 0
         end[i] = stop
         if stop < n:
             before[stop] = i
             last = end[stop]
-            r = rank(piece[i:last])
-            if r is not None:
+            if (r := rank(piece[i:last])) is not None:
                 push(heap, (r, i, last))
         left = before[i]
-        if left >= 0:
-            r = rank(piece[left:stop])
-            if r is not None:
-                push(heap, (r, left, stop))
+        if left >= 0 and (r := rank(piece[left:stop])) is not None:
+            push(heap, (r, left, stop))
     ids, i = [], 0
     while i < n:
         stop = end[i]
@@ -133,25 +132,30 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+#: What a string encodes to: the decimal names of its ids, and the bytes they decode to. A plain
+#: pair of atoms, which the garbage collector need not visit.
+Entry = tuple[str, bytes]
+_NAMES, _DATA = itemgetter(0), itemgetter(1)
+
+
 class Memo:
-    """Ids of strings seen lately: two generations of at most `limit` short strings each."""
+    """Entries of strings seen lately: two generations of at most `limit` short strings each."""
 
     def __init__(self, limit: int):
         self.limit, self.young, self.old = limit, {}, {}
 
-    def get(self, text: str) -> list[int] | None:
-        ids = self.young.get(text)
-        if ids is None:
-            ids = self.old.get(text)
-            if ids is not None:
-                self.put(text, ids)
-        return ids
+    def recall(self, text: str) -> Entry | None:
+        entry = self.young.get(text) or self.old.get(text)
+        if entry is not None:
+            self.young[text] = entry
+        return entry
+
+    def put(self, text: str, entry: Entry) -> None:
+        self.young[text] = entry
 
-    def put(self, text: str, ids: list[int]) -> None:
-        if len(text) <= 64:
-            if len(self.young) >= self.limit:
-                self.young, self.old = {}, self.young
-            self.young[text] = ids
+    def age(self) -> None:
+        if len(self.young) >= self.limit:
+            self.young, self.old = {}, self.young
 
 
 class ByteBpe:
@@ -164,19 +168,14 @@ class ByteBpe:
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.names = [str(number) for number in range(len(self.tokens))]
-        self.limit = memo
-        self.chunks, self.pieces = Memo(memo), Memo(memo // 2)
+        self.memo = Memo(memo)
 
     def __getstate__(self):
-        state = {**self.__dict__, "pattern": self.pattern.pattern}
-        del state["chunks"], state["pieces"]
-        return state
+        return {**self.__dict__, "pattern": self.pattern.pattern, "memo": Memo(self.memo.limit)}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.pattern = regex.compile(state["pattern"])
-        self.chunks, self.pieces = Memo(self.limit), Memo(self.limit // 2)
 
     def piece(self, text: str) -> list[int]:
         """Ids of one pre-token."""
@@ -184,43 +183,59 @@ class ByteBpe:
         found = self.hash.get(data)
         return [found] if found is not None else merge_bytes(data, self.ranks)
 
-    def _pieces(self, texts: list[str]) -> list[int]:
-        known, ids = self.pieces, []
-        for text in texts:
-            own = known.get(text)
-            if own is None:
-                own = self.piece(text)
-                known.put(text, own)
-            ids += own
-        return ids
-
-    def _chunk(self, chunk: str) -> list[int]:
-        ids = self.chunks.get(chunk)
-        if ids is None:
-            ids = self._pieces(self.pattern.findall(chunk))
-            self.chunks.put(chunk, ids)
-        return ids
-
-    def encode(self, text: str) -> Iterator[list[int]]:
-        """Ids of the whole text, in blocks."""
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
+
+    def _known(self, text: str, pieces: Callable[[str], list[str]]) -> Entry:
+        entry = self.memo.recall(text)
+        if entry is None:
+            ids = [i for piece in pieces(text) for i in self.piece(piece)]
+            entry = (" ".join(map(str, ids)), self.decode(ids))
+            if len(text) <= 64:
+                self.memo.put(text, entry)
+        return entry
+
+    def _chunk(self, chunk: str) -> Entry:
+        """A chunk not among the young: as one word, as a word and marks, or by the pattern."""
+        entry = self.memo.recall(chunk)
+        if entry is not None:
+            return entry
+        if WORD.fullmatch(chunk):
+            return self._known(chunk, lambda word: [word])
+        word, marks = marks_apart(chunk)
+        if not marks or not WORD.fullmatch(word):
+            return self._known(chunk, self.pattern.findall)
+        one, two = self._known(word, lambda piece: [piece]), self._known(marks, lambda piece: [piece])
+        entry = (f"{one[0]} {two[0]}", one[1] + two[1])
+        if len(chunk) <= 64:
+            self.memo.put(chunk, entry)
+        return entry
+
+    def entries(self, text: str) -> Iterator[list[Entry]]:
+        """The whole text as entries, in blocks."""
         if OTHER_SPACE.search(text):
-            found = (match.group() for match in self.pattern.finditer(text))
-            while pieces := list(islice(found, PART)):
-                yield self._pieces(pieces)
+            pieces = (match.group() for match in self.pattern.finditer(text))
+            # The same string as a chunk of its own has the same ids: it is one pre-token.
+            while block := [self._known(p, lambda piece: [piece]) for p in islice(pieces, PART)]:
+                yield block
+                self.memo.age()
             return
         for part in parts(text):
-            block: list[int] = []
-            for chunk in CHUNK.findall(part):
-                # A generation that fills up is replaced, so it is looked up anew each time.
-                block += self.chunks.young.get(chunk) or self._chunk(chunk)
+            chunks = CHUNK.findall(part)
+            block = list(map(self.memo.young.get, chunks))
+            if None in block:
+                for i in [i for i, entry in enumerate(block) if entry is None]:
+                    block[i] = self._chunk(chunks[i])
+                self.memo.age()
             yield block
 
-    def write(self, ids: list[int]) -> str:
-        """Decimal ids joined by a space."""
-        return " ".join(map(self.names.__getitem__, ids))
+    def encode(self, text: str) -> list[int]:
+        """Ids of the whole text."""
+        return [i for block in self.entries(text) for i in _ids(block)]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+
+def _ids(block: list[Entry]) -> Iterator[int]:
+    return map(int, " ".join(map(_NAMES, block)).split())
 
 
 def encode_documents(
@@ -243,13 +258,14 @@ def encode_documents(
             columns: list[list] = [[], [], [], []]
             for text in batch.column(1):
                 count, ids_hash, bytes_hash, kept = 0, hashlib.sha256(), hashlib.sha256(), []
-                for ids in bpe.encode(text.as_py()):
-                    if ids:
-                        ids_hash.update((" " * (count > 0) + bpe.write(ids)).encode())
-                        bytes_hash.update(bpe.decode(ids))
-                        count += len(ids)
+                for block in bpe.entries(text.as_py()):
+                    if block:
+                        names = " ".join(map(_NAMES, block))
+                        ids_hash.update((" " + names if count else names).encode())
+                        bytes_hash.update(b"".join(map(_DATA, block)))
+                        count += names.count(" ") + 1
                         if with_ids:
-                            kept += ids
+                            kept += _ids(block)
                 for column, value in zip(
                     columns, (count, ids_hash.hexdigest(), bytes_hash.hexdigest(), kept), strict=True
                 ):

@@ -12,7 +12,13 @@ from collections.abc import Iterator
 #: White space, then the visible run after it.
 CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: Anything that one of the regex engines in use might take for white space, but space and newline.
-OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85\u180e\u200b\ufeff]")
+OTHER_SPACE = re.compile(
+    "[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
+)
+#: Marks that are a pre-token of their own after a letter; the apostrophe is not.
+MARKS = ".,;:!?#$%&*()-\"@^~+=<>|\\/_[]{}`"
+#: A word that is one pre-token, by letters on which all Unicode versions agree.
+WORD = re.compile("\x20?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 #: Characters of a text worked on at a time.
 PART = 1 << 20
 
@@ -28,3 +34,11 @@ def parts(text: str, size: int = PART) -> Iterator[str]:
         start = cut
     if start < len(text) or not start:
         yield text[start:]
+
+
+def marks_apart(chunk: str) -> tuple[str, str]:
+    """A chunk as a word and the marks behind it, which are pre-tokens apart; or whole and empty."""
+    word = chunk.rstrip(MARKS)
+    if len(word) < len(chunk) and word[-1:].isalpha():
+        return word, chunk[len(word):]
+    return chunk, ""
