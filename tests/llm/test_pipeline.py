@@ -1,0 +1,38 @@
+"""The pipeline against its stages by brute force, and the queries against their SQL."""
+
+import compare
+import corpus_pipeline
+import pytest
+
+import __spark_entry__ as entry
+from tillwright.llm import registry
+from tillwright.llm.common import table
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_stages_keep_the_columns_and_take_effect(spark):
+    docs = table(spark, FOLDER, "documents")
+    before = docs.count()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, FOLDER)
+        assert after.columns == docs.columns
+        rows = [tuple(r) for r in after.collect()]
+        assert 0 < len(rows) <= before
+        before, docs = len(rows), spark.createDataFrame(rows, docs.schema)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    expected = sorted(map(tuple, last.collect()))
+    assert sorted(map(tuple, corpus_pipeline.run(spark, FOLDER).collect())) == expected
+
+
+def test_every_operator_is_registered():
+    names = set(entry.queries())
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert "pipeline" in names and set(registry.ORACLE) < set(registry.QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
+def test_query(spark, name):
+    ours = compare.spark_rows(registry.QUERIES[name](spark, FOLDER))
+    theirs = compare.duck_rows(compare.duck(FOLDER), registry.ORACLE[name])
+    assert compare.differences(ours, theirs) == ""
