@@ -147,8 +147,8 @@ class PatriciaTrie:
                 path.append(live[0])
             else:
                 break
-        if not live:
-            return False
+        if not live or len(path[-1].children) < 2:
+            return False  # without a fork a subtree is all there is
         heavy = max(live, key=lambda c: c.weight)
         file = _Spilled(self.folder)
         first, weight = heavy.label[0], heavy.weight
