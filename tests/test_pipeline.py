@@ -1,6 +1,9 @@
 """Flat files to gold, in a shared folder of the test run; the stream alert."""
 
 import datetime
+import pathlib
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -183,3 +186,27 @@ def test_work_dir_is_below_the_shared_folder(spark):
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     assert first.startswith(shared)
     assert first != second
+
+
+@pytest.mark.parametrize("stop_first", [False, True])
+def test_no_scratch_is_left(tmp_path, stop_first):
+    """A process that runs queries leaves neither folders nor databases behind."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(pathlib.Path(__file__).resolve().parents[1])!r})
+from tillwright.registry.queries import QUERIES
+from tillwright.session import build_session, clear_work
+spark = build_session("scratch", "local[2]", **{{"spark.checkpoint.dir": {str(tmp_path / "shared")!r},
+    "spark.sql.warehouse.dir": {str(tmp_path / "warehouse")!r}, "spark.ui.enabled": "false",
+    "spark.sql.shuffle.partitions": "2"}})
+assert QUERIES["sink_append"](spark, "/root/testdata/sf0.001").count() == 20
+assert QUERIES["dq_unique"](spark, "/root/testdata/sf0.001").count() == 3
+if {stop_first}:
+    spark.stop()
+else:
+    clear_work(spark.sparkContext.applicationId)
+    assert [d.name for d in spark.catalog.listDatabases()] == ["default"]
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, cwd=tmp_path, timeout=180)
+    left = [p for p in (tmp_path / "shared").rglob("*") if p.is_file()] if (tmp_path / "shared").exists() else []
+    assert left == []

@@ -63,12 +63,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 def clear_work(application: str) -> None:
     """Drops the databases over, and removes, the work folders that an application was given.
 
-    Runs at the end of the process, or earlier by hand; nothing is left to do once the session
-    has ended.
+    Runs at the end of the process, or earlier by hand.
     """
     spark, paths = _made.pop(application, (None, []))
     context = None if spark is None else spark.sparkContext
     if context is None or context._jsc is None or context._jsc.sc().isStopped():
+        # Without a session only folders that this machine sees can be removed.
+        for path in paths:
+            shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
         return
     for database in spark.catalog.listDatabases():
         if any(database.locationUri.rstrip("/").endswith(path.split("://")[-1].rstrip("/")) for path in paths):
