@@ -105,3 +105,27 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
 LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
 """
+
+ORACLE["op9_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '(?:[a-z0-9]|[^\x00-\x7F])+') AS w FROM documents
+), shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, unnest(list_transform(
+        range(1, greatest(len(w) - 4, least(len(w), 1)) + 1), lambda i: array_to_string(w[i:i + 4], ' ')
+    )) AS s FROM words
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE shared.n >= 0.8 * (p.n + q.n - shared.n)
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT doc_id, coalesce(n_links, 0) AS n_links, class_id, doc_id = class_id AS kept
+FROM (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a) USING (doc_id)
+"""

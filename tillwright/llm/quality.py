@@ -254,8 +254,9 @@ def fit(
 
     # At most `most` rows of two numbers: small enough to send to every task.
     sample = texts.join(F.broadcast(known), "_id").select(F.col("_id").cast("long"), "_label", "_text")
-    sample = sample.mapInArrow(run, "id long, label double, features binary").toPandas()
-    sample = sample.sort_values(["id", "label", "features"]).head(most)
+    sample = sample.mapInArrow(run, "id long, label double, features binary")
+    # Ids that repeat must not make the sample larger than its bound.
+    sample = sample.orderBy("id", "label", F.xxhash64("features")).limit(most).toPandas()
     if sample["label"].nunique() < 2:
         return None
     bags = [np.frombuffer(f, "<f4").reshape(-1, FEATURES) for f in sample["features"]]
