@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
 import tempfile
 import time
@@ -55,6 +56,7 @@ def main() -> None:
         times[name] = round(best, 3)
     clear_work(spark.sparkContext.applicationId)
     spark.stop()
+    shutil.rmtree(shared, ignore_errors=True)
     print(json.dumps({
         "metric": "total time of the headline queries",
         "value": round(sum(times.values()), 3),
