@@ -15,7 +15,8 @@ result and move little:
 
 Equal spans of one block are sent once. Anchors with more than `HOT` occurrences, as in a passage that
 a third of all documents hold, would meet in one task; their windows are matched by 128-bit
-fingerprints instead, each once per block, by an aggregation that combines before the shuffle.
+fingerprints instead, each once per block and dealt by itself, so that no task gets more than its
+share.
 
 Equal texts are one from the start; texts live in blocks of about `BLOCK_BYTES` in a bucketed table, so
 that the later steps join to them without moving them again.
@@ -104,7 +105,7 @@ class Anchors:
         self.at, self.first = chosen[begin], window[begin]
         self.last = window[np.concatenate([change, [len(window) - 1]])]
         self.hash = stems[self.at]
-        low = stems < np.uint64(MARKS * (1 << 64) // width)
+        low = stems < np.uint64(min((1 << 64) - 1, MARKS * (1 << 64) // width))
         self.marks = np.flatnonzero(low & _inside(len(data), ends, stem))
         self.mark_hash = stems[self.marks]
 
@@ -371,7 +372,7 @@ def _entries(sent, length: int, stem: int, parts: int):
     """Runs of the anchors that occur again, windows known to, and fingerprints of hot windows.
 
     kind 0: a run for `part`; kind 1: spans of the block known to be repeated (data: starts and
-    ends); kind 2: fingerprints of windows at hot anchors (data: two 64-bit halves, times).
+    ends); kind 2: fingerprints for `part` of windows at hot anchors (data: two 64-bit halves, times).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,8 +404,8 @@ def _entries(sent, length: int, stem: int, parts: int):
                 spans = np.stack([found.first[sure], found.last[sure] + length], axis=1).astype("<i8")
                 out.append((1, -1, spans.tobytes()))
             if hot.any():
-                prints, times = np.unique(_prints(hasher, data, found, hot, length)[0], axis=0, return_counts=True)
-                out.append((2, -1, np.column_stack([prints, times.astype("<u8")]).astype("<u8").tobytes()))
+                prints = _prints(hasher, data, found, hot, length)[0]
+                out += [(2, part, own) for part, own in _print_parts(prints, parts)]
             if out:
                 columns = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([
@@ -464,6 +465,50 @@ def _prints(hasher, data, found: Anchors, hot: np.ndarray, length: int) -> tuple
     return np.column_stack(halves), starts
 
 
+def _print_parts(prints: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
+    """Different fingerprints with how often each occurs, dealt by the first half."""
+    order = np.lexsort((prints[:, 1], prints[:, 0]))
+    prints = prints[order]
+    fresh = np.ones(len(prints), bool)
+    fresh[1:] = (prints[1:] != prints[:-1]).any(axis=1)
+    begin = np.flatnonzero(fresh)
+    times = np.diff(np.append(begin, len(prints))).astype("<u8")
+    table = np.column_stack([prints[begin], times])
+    part = (table[:, 0] % np.uint64(parts)).astype(np.int64)
+    order = part.argsort(kind="stable")
+    edges = np.flatnonzero(np.diff(part[order], prepend=-1))
+    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True):
+        yield int(part[order[a]]), table[order[a:b]].astype("<u8").tobytes()
+
+
+def _prints_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block its fingerprints that occur at least twice anywhere."""
+    blocks, tables = [], []
+    for row in _rows(batches):
+        blocks.append(row["block"].as_py())
+        tables.append(_numbers(row["data"], "<u8").reshape(-1, 3))
+    if not blocks:
+        return
+    joined = np.concatenate(tables)
+    order = np.lexsort((joined[:, 1], joined[:, 0]))
+    fresh = np.ones(len(joined), bool)
+    fresh[1:] = (joined[order][1:, :2] != joined[order][:-1, :2]).any(axis=1)
+    place = np.empty(len(joined), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    again = np.bincount(place, joined[:, 2].astype(np.float64))[place] > 1
+    at, out = 0, []
+    for block, own in zip(blocks, tables, strict=True):
+        hit = own[again[at : at + len(own)], :2]
+        at += len(own)
+        if len(hit):
+            out.append((block, hit.astype("<u8").tobytes()))
+    if out:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())],
+            names=["block", "prints"],
+        )
+
+
 def _match(sent, length: int, stem: int):
     """Merges the runs of each part and returns the repeated spans of each block."""
 
@@ -543,7 +588,7 @@ def _match(sent, length: int, stem: int):
     return run
 
 
-def _cut(sent, length: int, stem: int):
+def _cut(sent, length: int, stem: int, with_kept: bool):
     """Per different text: what is left of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -566,23 +611,33 @@ def _cut(sent, length: int, stem: int):
                 np.add.at(depth, joined[:, 0], 1)
                 np.add.at(depth, joined[:, 1], -1)
             gone = np.cumsum(depth)[:-1] > 0
-            out, start = [], 0
+            ends = np.cumsum(lengths)
+            sums = np.append(0, np.cumsum(gone))
+            begins = gone & ~np.append(False, gone[:-1])
+            begins[ends[:-1][lengths[1:] > 0]] = gone[ends[:-1][lengths[1:] > 0]]
+            runs = np.append(0, np.cumsum(begins))
+            raw = row["data"].as_buffer()
             shas = row["shas"].as_buffer().to_pybytes()
-            for i, size in enumerate(lengths.tolist()):
-                text, away = data[start : start + size], gone[start : start + size]
+            out = []
+            for i, (size, end) in enumerate(zip(lengths.tolist(), ends.tolist(), strict=True)):
+                start = end - size
+                away, spans_of = int(sums[end] - sums[start]), int(runs[end] - runs[start])
                 if copies[i] > 1 and size >= length:
-                    away = np.ones(size, bool)
-                start += size
-                runs = int((np.diff(away.astype(np.int8), prepend=0) == 1).sum())
-                out.append((
-                    shas[32 * i : 32 * i + 32], size, int(away.sum()), runs, text[~away].tobytes(),
-                ))
+                    away, spans_of = size, 1
+                if away == size:
+                    text = b""
+                elif not away:
+                    text = raw[start:end]
+                else:
+                    text = data[start:end][~gone[start:end]].tobytes()
+                own = [shas[32 * i : 32 * i + 32], size, away, spans_of, hashlib.sha256(text).hexdigest()]
+                out.append((*own, bytes(text)) if with_kept else own)
             columns = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(columns[0], pa.binary()), *(pa.array(c, pa.int64()) for c in columns[1:4]),
-                pa.array([hashlib.sha256(t).hexdigest() for t in columns[4]], pa.string()),
-                pa.array(columns[4], pa.binary()),
-            ], names=["sha", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)],
+                names=["sha", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: len(columns)],
+            )
 
     return run
 
@@ -613,9 +668,9 @@ def cut_repeats(
     packed.write.bucketBy(partitions, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
     blocks = spark.table(name)
     found = _spans_of(blocks, hasher, length, stem, hot, partitions)
-    columns = "sha binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    results = found.mapInArrow(_cut(hasher, length, stem), columns)
-    results = written(results if with_kept else results.drop("kept"), "cut-texts")
+    columns = "sha binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    columns += ", kept binary" if with_kept else ""
+    results = written(found.mapInArrow(_cut(hasher, length, stem, with_kept), columns), "cut-texts")
     spark.sql(f"DROP TABLE {name}")  # its files are in the work folder
     rows = docs.select(F.col(id_col).alias("_id"), F.unhex(F.sha2(data, 256)).alias("sha"))
     return rows.join(results, "sha", "left").select(
@@ -643,42 +698,11 @@ def _spans_of(blocks, hasher, length, stem, hot, parts) -> DataFrame:
     )
     known = entries.where("kind = 1").select("block", F.col("data").alias("spans"))
     spans = merged.unionByName(known).groupBy("block").agg(F.collect_list("spans").alias("spans"))
-    prints = _hot_prints(entries.where("kind = 2"))
+    prints = (
+        entries.where("kind = 2").repartition(parts, "part").select("block", "data")
+        .mapInArrow(_prints_again, "block long, prints binary")
+        .groupBy("block").agg(F.collect_list("prints").alias("prints"))
+    )
     return (
         blocks.join(replies, "block", "left").join(spans, "block", "left").join(prints, "block", "left")
     )
-
-
-def _hot_prints(rows: DataFrame) -> DataFrame:
-    """Per block the fingerprints of its hot windows that occur again."""
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            prints = np.frombuffer(row["data"].as_buffer(), "<i8").reshape(-1, 3)
-            for at in range(0, len(prints), 50_000):
-                part = prints[at : at + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), row["block"].as_py()), pa.int64())]
-                    + [pa.array(np.ascontiguousarray(part[:, i]), pa.int64()) for i in range(3)],
-                    names=["block", "a", "b", "times"],
-                )
-
-    windows = rows.select("block", "data").mapInArrow(unpack, "block long, a long, b long, times long")
-    again = windows.groupBy("a", "b").agg(F.sum("times").alias("n")).where("n > 1").select("a", "b")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            block = batch.column(0).to_numpy(zero_copy_only=False)
-            halves = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2)])
-            order = block.argsort(kind="stable")
-            edges = np.flatnonzero(np.diff(block[order], prepend=-1))
-            bounds = zip(edges.tolist(), [*edges[1:].tolist(), len(order)], strict=True)
-            out = [(int(block[order[a]]), halves[order[a:b]].astype("<i8").tobytes()) for a, b in bounds]
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())],
-                    names=["block", "prints"],
-                )
-
-    found = windows.join(again, ["a", "b"]).select("block", "a", "b").mapInArrow(pack, "block long, prints binary")
-    return found.groupBy("block").agg(F.collect_list("prints").alias("prints"))
