@@ -129,3 +129,35 @@ SELECT doc_id, coalesce(n_links, 0) AS n_links, class_id, doc_id = class_id AS k
 FROM (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id)
 LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a) USING (doc_id)
 """
+
+ORACLE["op8_suffix_dedup"] = """
+WITH bytes AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS MATERIALIZED (
+    SELECT doc_id, h, length(h) // 2 AS n FROM bytes
+), windows AS MATERIALIZED (
+    SELECT doc_id, unnest(range(0, greatest(n - 199, 0))) AS p,
+           unnest(list_transform(range(0, greatest(n - 199, 0)), lambda i: md5(substr(h, 2 * i + 1, 400)))) AS m
+    FROM sized
+), again AS MATERIALIZED (
+    SELECT m FROM windows GROUP BY m HAVING count(*) > 1
+), steps AS (
+    SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 200, true) AS fresh
+    FROM windows SEMI JOIN again USING (m)
+), numbered AS (
+    SELECT doc_id, p, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM steps
+), spans AS MATERIALIZED (
+    SELECT doc_id, min(p) AS first, max(p) + 200 AS stop FROM numbered GROUP BY doc_id, span
+), gaps AS (
+    SELECT doc_id, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY first), 0) AS first, first AS stop FROM spans
+    UNION ALL
+    SELECT doc_id, coalesce(max(spans.stop), 0), n FROM sized LEFT JOIN spans USING (doc_id) GROUP BY doc_id, n
+), kept AS (
+    SELECT doc_id, string_agg(substr(h, 2 * first + 1, 2 * (stop - first)), '' ORDER BY first) AS h
+    FROM gaps JOIN sized USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(runs, 0) AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM sized JOIN kept USING (doc_id)
+LEFT JOIN (SELECT doc_id, sum(stop - first) AS gone, count(*) AS runs FROM spans GROUP BY doc_id) USING (doc_id)
+"""
