@@ -1,11 +1,20 @@
 """The pipeline against its stages by brute force, and the queries against their SQL."""
 
+import hashlib
+import re
+
 import compare
 import corpus_pipeline
+import duckdb
+import public_tokenizers
+import pyarrow as pa
 import pytest
+import test_jaccard
+import tiktoken
 
 import __spark_entry__ as entry
-from tillwright.llm import registry
+from tillwright.llm import quality, registry
+from tillwright.llm.bpe import read_ranks
 from tillwright.llm.common import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -25,6 +34,51 @@ def test_stages_keep_the_columns_and_take_effect(spark):
     assert sorted(map(tuple, corpus_pipeline.run(spark, FOLDER).collect())) == expected
 
 
+def by_hand(docs, model):
+    """The five stages in plain Python and SQL over rows of documents."""
+    scores = quality.score_texts(model, quality.Encoder(), [(d["text"] or "").encode() for d in docs])
+    docs = [d for d, score in zip(docs, scores, strict=True) if score >= 0.3]
+    yield docs
+    first = {}
+    for d in sorted(docs, key=lambda d: d["doc_id"]):
+        first.setdefault(re.sub("[\x20\x09-\x0d]+", " ", d["text"] or ""), d["doc_id"])
+    docs = [d for d in docs if d["doc_id"] in first.values()]
+    yield docs
+    kept = {i for i, _, _, keep in test_jaccard.brute([(d["doc_id"], d["text"]) for d in docs]) if keep}
+    docs = [d for d in docs if d["doc_id"] in kept]
+    yield docs
+    documents = pa.Table.from_pylist(docs)  # noqa: F841  read by the SQL
+    drawn = duckdb.sql(registry.ORACLE["op10_mixing"]).project("doc_id, sampled").fetchall()
+    docs = [d for d in docs if dict(drawn)[d["doc_id"]]]
+    yield docs
+    library = tiktoken.Encoding(
+        "test", pat_str=public_tokenizers.PATTERN, special_tokens={},
+        mergeable_ranks=read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+    )
+    out = []
+    for d in docs:
+        ids = library.encode_ordinary(d["text"] or "")
+        out.append({
+            "doc_id": d["doc_id"], "n_tokens": len(ids),
+            "ids_sha256": hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+            "decoded_sha256": hashlib.sha256((d["text"] or "").encode()).hexdigest(),
+        })
+    yield out
+
+
+def test_stages_equal_brute_force(spark):
+    docs = table(spark, FOLDER, "documents")
+    model = quality.fit(docs, table(spark, FOLDER, "labels"))
+    expected = by_hand([r.asDict() for r in docs.collect()], model)
+    schema = docs.schema
+    for (_, stage), rows in zip(corpus_pipeline.STAGES, expected, strict=True):
+        found = [r.asDict() for r in stage(spark, docs, FOLDER).collect()]
+        key = lambda d: d["doc_id"]
+        assert sorted(found, key=key) == sorted(rows, key=key)
+        if rows and "text" in rows[0]:
+            docs = spark.createDataFrame([tuple(r[c] for c in schema.names) for r in rows], schema)
+
+
 def test_every_operator_is_registered():
     names = set(entry.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
