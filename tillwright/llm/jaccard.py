@@ -31,10 +31,12 @@ from tillwright.llm.shingles import WORDS, Shingler, mix
 SIMILARITY = 0.8
 RECALL = 0.9999
 #: Tokens of a set that paths are chosen from, and tokens chosen in a run and in a split.
-SAMPLE = 64
-CHOSEN, CHOSEN_DEEPER = 2, 8
+SAMPLE = 32
+CHOSEN, CHOSEN_DEEPER = 2, 4
 #: Sets and tokens of one block of a bucket; a bucket of more sets is split if that lessens work.
-BLOCK, BLOCK_TOKENS = 1024, 1 << 21
+BLOCK, BLOCK_TOKENS = 4096, 1 << 22
+#: Pairs that a token adds up to which they are counted one by one; beyond, by a matrix product.
+DENSE = 1 << 16
 #: A split must bring the compared pairs below this share. Levels of paths at most.
 GAIN, DEPTH = 0.5, 4
 
@@ -119,42 +121,67 @@ def _buckets(members: DataFrame) -> DataFrame:
     )
 
 
-def leaf_buckets(classes: DataFrame, block: int = BLOCK, depth: int = DEPTH) -> DataFrame:
-    """`path, id, blocks`: the members of all buckets to be compared."""
-    members = classes.select(F.explode("paths").alias("path"), "id", "size")
+def leaf_buckets(
+    sets: DataFrame, owner: DataFrame, block: int = BLOCK, depth: int = DEPTH
+) -> DataFrame:
+    """`path, id, blocks`: the members of all buckets to be compared, one of each class of sets."""
+    narrow = sets.select("id", "hi", "lo", "size", "paths").join(
+        owner.select("id", "hi", "lo"), ["id", "hi", "lo"], "left_semi"
+    )
+    # Rows that repeat id and set choose the same paths.
+    members = narrow.select(F.explode("paths").alias("path"), "id", "size").distinct()
     leaves, level = None, 1
     while True:
-        buckets = written(_buckets(members), "buckets")
-        members = written(members.join(buckets, "path"), "members")
-        large = buckets.where(F.col("n") > block)
+        members = written(_shared_members(members, block), "members")
+        large = members.where(F.col("n") > block)
         split = None
         if level < depth and not large.isEmpty():
-            split = _split(members.where(F.col("n") > block), classes, large)
-        part = members if split is None else members.join(split.select("path"), "path", "left_anti")
+            split = _split(large, sets)
+        part = members if split is None else members.join(split, "path", "left_anti")
         part = part.select("path", "id", F.greatest(
             F.ceil(F.col("n") / block), F.ceil(F.col("tokens") / BLOCK_TOKENS)
         ).cast("int").alias("blocks"))
         leaves = part if leaves is None else leaves.unionByName(part)
         if split is None:
             return leaves
-        members = split.select(F.col("path").alias("parent")).join(_children(
-            members.where(F.col("n") > block), classes), "parent").select("path", "id", "size")
+        inner = _children(large.join(split, "path", "left_semi"), sets)
+        members = inner.select("path", "id", "size").distinct()
         level += 1
 
 
-def _children(members: DataFrame, classes: DataFrame) -> DataFrame:
+def _shared_members(members: DataFrame, block: int) -> DataFrame:
+    """`path, id, size, n, tokens` of the buckets of two or more that add pairs.
+
+    Buckets of the same members are one. If all members of a bucket have the same largest bucket,
+    of one block at most, and that is another one, all its pairs are there.
+    """
+    buckets = _buckets(members)
+    shared = members.join(buckets, "path")
+    rank = F.struct(F.col("n"), (-F.col("path")).alias("order"), F.col("path"))
+    small = shared.where(F.col("n") <= block)
+    largest = small.groupBy("id").agg(F.max(rank)["path"].alias("largest"))
+    within = small.join(largest, "id").groupBy("path").agg(
+        F.min("largest").alias("low"), F.max("largest").alias("high")
+    )
+    spare = within.where("low = high and low <> path").select("path")
+    return shared.join(spare, "path", "left_anti")
+
+
+def _children(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of longer paths; rows that repeat id and set give the same ones."""
     rows = members.select(F.col("path").alias("parent"), "id", "size").join(
-        classes.select("id", "sample"), "id"
-    ).select("parent", "id", "size", "sample")
+        sets.select("id", F.col("size").alias("own_size"), "sample"), "id"
+    ).where("size = own_size").select("parent", "id", "size", "sample")
     return rows.mapInArrow(_deeper, "parent long, id long, size long, path long")
 
 
-def _split(members: DataFrame, classes: DataFrame, large: DataFrame) -> DataFrame | None:
-    """The large buckets whose split lessens the pairs to compare; None if there are none."""
-    inner = _children(members, classes).groupBy("parent", "path").agg(F.count("*").alias("m"))
+def _split(large: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """Paths of the large buckets whose split lessens the pairs to compare; None if there are none."""
+    inner = _children(large, sets).groupBy("parent", "path").agg(F.count("*").alias("m"))
     cost = inner.where("m > 1").groupBy("parent").agg(F.sum(F.col("m") * F.col("m")).alias("cost"))
+    sizes = large.groupBy("path").agg(F.max("n").alias("n"))
     chosen = written(
-        large.join(cost, F.col("path") == F.col("parent"), "left")
+        sizes.join(cost, F.col("path") == F.col("parent"), "left")
         .where(F.coalesce("cost", F.lit(0)) < F.lit(GAIN) * F.col("n") * F.col("n"))
         .select("path"),
         "split-buckets",
@@ -162,29 +189,55 @@ def _split(members: DataFrame, classes: DataFrame, large: DataFrame) -> DataFram
     return None if chosen.isEmpty() else chosen
 
 
-def _shared(left: list[np.ndarray], right: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
-    """Sizes of the intersections of all sets of two lists."""
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of two lists.
+
+    Rare tokens add their pairs one by one, so the many that few sets share cost little; tokens of
+    many sets go through a matrix product.
+    """
+    total = np.zeros((len(left), len(right)), np.float32)
     tokens = np.concatenate(left + right)
     if not len(tokens):
-        return np.zeros((len(left), len(right)))
-    sizes = [len(s) for s in left + right]
-    rows = np.repeat(np.arange(len(sizes)), sizes)
-    _, column, times = np.unique(tokens, return_inverse=True, return_counts=True)
-    often = times > 1
-    number = np.cumsum(often) - 1
-    kept = often[column]
-    rows, column = rows[kept], number[column[kept]]
-    total = np.zeros((len(left), len(right)), np.float32)
-    order = column.argsort(kind="stable")
-    rows, column = rows[order], column[order]
-    for start in range(0, int(often.sum()), chunk):
-        low, high = np.searchsorted(column, [start, start + chunk])
-        table = np.zeros((len(sizes), chunk), np.float32)
-        table[rows[low:high], column[low:high] - start] = 1
-        total += table[: len(left)] @ table[len(left) :].T
+        return total
+    names, column = np.unique(tokens, return_inverse=True)
+    sides = []
+    at = 0
+    for sets in (left, right):
+        sizes = np.array([len(s) for s in sets])
+        own = column[at : at + sizes.sum()]
+        at += sizes.sum()
+        order = own.argsort(kind="stable")
+        count = np.bincount(own, minlength=len(names))
+        sides.append((np.repeat(np.arange(len(sets)), sizes)[order], count, np.cumsum(count) - count))
+    (rows_a, count_a, start_a), (rows_b, count_b, start_b) = sides
+    pairs = count_a * count_b
+    rare = np.flatnonzero((pairs > 0) & (pairs <= DENSE))
+    flat = total.ravel()
+    cuts = np.flatnonzero(np.diff(np.cumsum(pairs[rare]) // (1 << 21), prepend=-1))
+    for start, stop in zip(cuts.tolist(), [*cuts.tolist(), len(rare)][1:], strict=True):
+        own = rare[start:stop]
+        sizes = pairs[own]
+        owner = np.repeat(own, sizes)
+        within = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        i = rows_a[start_a[owner] + within // count_b[owner]]
+        j = rows_b[start_b[owner] + within % count_b[owner]]
+        np.add.at(flat, i * len(right) + j, np.float32(1))
+    often = np.flatnonzero(pairs > DENSE)
+    for start in range(0, len(often), 512):
+        own = often[start : start + 512]
+        one, two = np.zeros((len(left), len(own)), np.float32), np.zeros((len(own), len(right)), np.float32)
+        for k, c in enumerate(own.tolist()):
+            one[rows_a[start_a[c] : start_a[c] + count_a[c]], k] = 1
+            two[k, rows_b[start_b[c] : start_b[c] + count_b[c]]] = 1
+        total += one @ two
     return total
 
 
+def _by_parts(rows: int, use) -> np.ndarray:
+    """`use(slice)` for parts of the rows, so that wide intermediates stay small."""
+    return np.concatenate([use(slice(k, k + 256)) for k in range(0, rows, 256)])
+
+
 def compare_block(
     path: int, ids: np.ndarray, weights: np.ndarray, sets: list[np.ndarray],
     leaves: list[np.ndarray], side: np.ndarray, same: bool, similarity: float,
@@ -199,28 +252,30 @@ def compare_block(
         return None
     shared = _shared([sets[i] for i in a], [sets[i] for i in b])
     size = np.array([len(s) for s in sets], np.float64)
-    union = size[a][:, None] + size[b][None, :] - shared
-    linked = shared >= similarity * union - 1e-9
+    linked = _by_parts(len(a), lambda part: (
+        shared[part] >= similarity * (size[a[part]][:, None] + size[b][None, :] - shared[part]) - 1e-9
+    ))
     if same:
         np.fill_diagonal(linked, False)
     if not linked.any():
         return None
     first = [own[own < path] for own in leaves]
+    here = linked
     if any(len(own) for own in first):
-        linked_here = linked & (_shared([first[i] for i in a], [first[i] for i in b]) == 0)
-    else:
-        linked_here = linked
+        here = linked & (_shared([first[i] for i in a], [first[i] for i in b]) == 0)
     links = np.zeros(len(ids), np.int64)
-    links[a] += (linked_here * weights[b][None, :]).sum(axis=1)
+    links[a] += _by_parts(len(a), lambda part: here[part] @ weights[b])
     if not same:
-        links[b] += (linked_here * weights[a][:, None]).sum(axis=0)
+        links[b] += _by_parts(len(b), lambda part: here.T[part] @ weights[a])
     least = ids.copy()
     big = np.iinfo(np.int64).max
     while True:
         before = least.copy()
-        least[a] = np.minimum(least[a], np.where(linked, least[b][None, :], big).min(axis=1))
+        low = _by_parts(len(a), lambda part: np.where(linked[part], least[b][None, :], big).min(axis=1))
+        least[a] = np.minimum(least[a], low)
         if not same:
-            least[b] = np.minimum(least[b], np.where(linked, least[a][:, None], big).min(axis=0))
+            low = _by_parts(len(b), lambda part: np.where(linked.T[part], least[a][None, :], big).min(axis=1))
+            least[b] = np.minimum(least[b], low)
         if (least == before).all():
             break
     out = np.flatnonzero((links > 0) | (least != ids))
@@ -230,11 +285,10 @@ def compare_block(
 def _compare(similarity: float):
     def work(key, rows: list[tuple]):
         path, first, second = key
-        ids = np.array([r[0] for r in rows], np.int64)
-        order = ids.argsort(kind="stable")
+        ids, order = np.unique(np.array([r[0] for r in rows], np.int64), return_index=True)
         return compare_block(
-            path, ids[order], np.array([r[1] for r in rows], np.int64)[order],
-            [np.frombuffer(rows[i][4], "<u8") for i in order],
+            path, ids, np.array([r[1] for r in rows], np.int64)[order],
+            [_unpacked(rows[i][4]) for i in order],
             [np.sort(np.array(rows[i][3], np.int64)) for i in order],
             np.array([int(r[2] != first) for r in rows])[order], first == second, similarity,
         )
@@ -271,6 +325,18 @@ def _result(found: list) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """The upper six bytes of each token: they differ for all tokens of two sets but once in 10^9."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _unpacked(data) -> np.ndarray:
+    six = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(six), 8), np.uint8)
+    wide[:, :6] = six
+    return wide.view("<u8").ravel()
+
+
 def _full_sets(shingler):
     """Rows of a candidate with its whole set, if the text is the one of its class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +349,7 @@ def _full_sets(shingler):
                 tokens = code.shingles(text.as_py())
                 if set_key(tokens) == (high, low):
                     keep.append(i)
-                    sets.append(tokens.astype("<u8").tobytes())
+                    sets.append(_packed(tokens))
             rows = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [rows.column(3), rows.column(4), rows.column(5), pa.array(sets, pa.binary())],
@@ -314,13 +380,7 @@ def near_texts(
     usable = sets.where("size > 0 and id is not null")
     owner = usable.groupBy("hi", "lo", "size").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
     owner = written(owner, "set-classes")
-    # One row per class; equal classes have equal choices, so any of its rows may give them.
-    classes = written(
-        usable.join(owner.drop("size"), ["id", "hi", "lo"], "left_semi").dropDuplicates(["id", "hi", "lo"])
-        .select("id", "size", "paths", "sample"),
-        "set-choices",
-    )
-    leaves = written(leaf_buckets(classes, block), "leaf-buckets")
+    leaves = written(leaf_buckets(usable, owner, block), "leaf-buckets")
     found = _linked(texts, owner, leaves, shingler, similarity)
     found = written(found, "text-links")
     links = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
@@ -341,21 +401,25 @@ def near_texts(
 
 
 def _linked(texts, owner, leaves, shingler, similarity: float) -> DataFrame:
-    """`a, b, links`: per class and bucket its links and a smaller class it reaches."""
-    own = leaves.groupBy("id").agg(F.sort_array(F.collect_list("path")).alias("buckets"))
+    """`a, b, links`: per class and bucket its links and a smaller class it reaches.
+
+    Rows that repeat id and set give the same set more than once; a task takes one.
+    """
+    own = leaves.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("path", "blocks"))).alias("buckets"))
     wanted = own.join(owner.select("id", "hi", "lo", "weight"), "id")
     sets = texts.where("id is not null").join(wanted, "id").select(
         "text", "hi", "lo", "id", "weight", "buckets"
-    ).mapInArrow(_full_sets(shingler), "id long, weight long, buckets array<long>, tokens binary")
-    # Rows that repeat id and set are one class: any of them gives the same set.
-    sets = written(sets, "candidate-sets", "snappy")
-    blocks = leaves.select("path", "blocks").distinct()
-    rows = sets.withColumn("path", F.explode("buckets")).join(blocks, "path")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    ).mapInArrow(
+        _full_sets(shingler),
+        "id long, weight long, buckets array<struct<path: long, blocks: int>>, tokens binary",
+    )
+    rows = sets.withColumn("bucket", F.explode("buckets"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("bucket.blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("bucket.blocks") - 1)))
     pairs = rows.select(
-        "path", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
-        "id", "weight", "own", "buckets", "tokens",
+        F.col("bucket.path").alias("path"), F.least("own", "other").alias("first"),
+        F.greatest("own", "other").alias("second"), "id", "weight", "own",
+        F.col("buckets.path").alias("leaves"), "tokens",
     )
     dealt = pairs.repartition("path", "first", "second").sortWithinPartitions("path", "first", "second")
     return dealt.mapInArrow(_compare(similarity), "a long, b long, links long")
