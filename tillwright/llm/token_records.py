@@ -15,7 +15,7 @@ for vocabularies beyond 65,536), and the ids.
 
 Documents are dealt by ranges of their id and sorted within, and each task writes one file through
 Spark's own file writer, whose commit drops what lost attempts wrote. Files stay near `FILE_BYTES`
-of text, since a file is read back as one row. The index is a Parquet table beside them.
+of input, since a file is read back as one row. The index is a Parquet table beside them.
 """
 
 from __future__ import annotations
@@ -28,18 +28,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwright.llm.chunks import CHUNK, OTHER_SPACE, PART, parts
+from tillwright.llm.chunks import CHUNK, OTHER_SPACE, PART, WORD, marks_apart, parts
 from tillwright.llm.common import arrived, shipped, whole
+from tillwright.operators.joins import scanned_bytes as stored_bytes
 
 #: The mask of the checksums and the id that ends a document.
 MASK_DELTA = 0xA282EAD8
 END_ID = 2
-#: Bytes of text that go to one file.
-FILE_BYTES = 32 * 2**20
+#: Bytes of input, as far as it is stored, that go to one file.
+FILE_BYTES = 20 * 2**20
 #: Chunks in each of the two generations that a task remembers with their ids.
-MEMO = 400_000
+MEMO = 600_000
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies spell a byte as itself where that is printable Latin-1, else as the next
+    character from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + n for n, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
 
-_HEAD = np.dtype([("length", "<u8"), ("check", "<u4")])
 _INDEX = (
     "file string, offset long, length long, doc_id long, n_tokens long, ids_crc32 long, "
     "before long"
@@ -87,8 +97,8 @@ def unpack(payload: memoryview) -> tuple[int | None, np.ndarray]:
 class Encoder:
     """Texts to the bytes of their ids, by the tokenizers library; remembers chunks.
 
-    Chunks not seen lately go to the library as one text. Their ids are told apart by the bytes
-    they stand for, which a byte-level vocabulary gives exactly.
+    A word of letters is one pre-token, so it goes straight to the library's model; any other chunk not
+    seen lately goes through all of the library's steps.
     """
 
     def __init__(self, file: str, memo: int = MEMO):
@@ -105,10 +115,10 @@ class Encoder:
         vocabulary = self.library.get_vocab()
         self.width = 2 if max(vocabulary.values(), default=0) < 1 << 16 else 4
         self.kind = "<u2" if self.width == 2 else "<u4"
-        # Every character of a byte-level entry stands for one byte.
-        self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
-        for entry, number in vocabulary.items():
-            self.bytes[number] = len(entry)
+        self.codes = [
+            number.to_bytes(self.width, "little") for number in range(max(vocabulary.values(), default=0) + 1)
+        ]
+        self.tokenize = self.library.model.tokenize
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -131,33 +141,52 @@ class Encoder:
 
     def _part(self, text: str) -> bytes:
         chunks = CHUNK.findall(text)
-        if not chunks:
-            return b""
-        memo, older, missing = self.memo, self.older, []
-        for chunk in set(chunks).difference(memo):
-            if chunk in older:
-                memo[chunk] = older[chunk]
-            else:
-                missing.append(chunk)
+        ids = list(map(self.memo.get, chunks))
+        if None in ids:
+            unknown = [i for i, own in enumerate(ids) if own is None]
+            self._recall({chunks[i] for i in unknown})
+            for i in unknown:
+                ids[i] = self.memo[chunks[i]]
+            if len(self.memo) > self.limit:
+                self.memo, self.older = {}, self.memo
+        return b"".join(ids)
+
+    def _recall(self, chunks: set[str]) -> None:
+        """Brings chunks to memory: from the older generation, by their parts, or by the library.
+
+        A word with marks behind it is the word and the marks.
+        """
+        memo, older, missing, marked = self.memo, self.older, set(), []
+        for chunk in chunks:
+            ids = older.get(chunk)
+            if ids is not None:
+                memo[chunk] = ids
+                continue
+            word, marks = marks_apart(chunk)
+            if not marks:
+                missing.add(chunk)
+                continue
+            marked.append((chunk, word, marks))
+            for part in (word, marks):
+                if part not in memo:
+                    if part in older:
+                        memo[part] = older[part]
+                    else:
+                        missing.add(part)
         if missing:
-            self._learn(missing)
-        ids = b"".join(map(memo.__getitem__, chunks))
-        if len(memo) > self.limit:
-            self.memo, self.older = {}, memo
-        return ids
+            self._learn(list(missing))
+        for chunk, word, marks in marked:
+            memo[chunk] = memo[word] + memo[marks]
 
     def _learn(self, missing: list[str]) -> None:
-        """Chunks that begin with white space and end with none follow each other safely."""
-        joined = [c for c in missing if c[0] in " \n" and c[-1] not in " \n"]
-        ids = self._ids(["".join(joined)])[0] if joined else np.zeros(0, self.kind)
-        ends = np.cumsum([len(c.encode()) for c in joined], dtype=np.int64)
-        stops = np.searchsorted(np.cumsum(self.bytes[ids]), ends, side="left") + 1
-        data, start = ids.tobytes(), 0
-        for chunk, stop in zip(joined, (stops * self.width).tolist(), strict=True):
-            self.memo[chunk] = data[start:stop]
-            start = stop
-        alone = [c for c in missing if c[0] not in " \n" or c[-1] in " \n"]
-        for chunk, own in zip(alone, self._ids(alone), strict=True):
+        codes, others = self.codes, []
+        for chunk in missing:
+            if WORD.fullmatch(chunk):
+                letters = chunk.encode().decode("latin-1").translate(BYTE_LETTERS)
+                self.memo[chunk] = b"".join([codes[t.id] for t in self.tokenize(letters)])
+            else:
+                others.append(chunk)
+        for chunk, own in zip(others, self._ids(others), strict=True):
             self.memo[chunk] = own.tobytes()
 
 
@@ -172,7 +201,9 @@ def write_records(
     are not read. `tokenizer` is a file of the tokenizers library, read by the driver.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), whole(text_col).alias("_text"))
-    size = rows.agg(F.sum(F.octet_length("_text").cast("long") + 64)).first()[0] or 0
+    size = stored_bytes(docs)
+    if size is None or size >= 1 << 60:  # Spark's word for a size it cannot tell
+        size = rows.agg(F.sum(F.octet_length("_text").cast("long") + 64)).first()[0] or 0
     # The hash spreads rows without an id; it never parts the order of different ids.
     rows = rows.withColumn("_spread", F.xxhash64("_text"))
     dealt = rows.repartitionByRange(
