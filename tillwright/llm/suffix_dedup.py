@@ -39,7 +39,7 @@ from tillwright.llm.shingles import mix, powers
 from tillwright.session import work_dir
 
 LENGTH, STEM = 200, 64
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 HOT = 2000
 #: Marks per window, on average.
 MARKS = 2
@@ -666,12 +666,13 @@ def cut_repeats(
     name = f"text_blocks_{uuid.uuid4().hex}"
     path = work_dir(spark, "text-blocks")
     packed.write.bucketBy(partitions, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
-    blocks = spark.table(name)
-    found = _spans_of(blocks, hasher, length, stem, hot, partitions)
-    columns = "sha binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    columns += ", kept binary" if with_kept else ""
-    results = written(found.mapInArrow(_cut(hasher, length, stem, with_kept), columns), "cut-texts")
-    spark.sql(f"DROP TABLE {name}")  # its files are in the work folder
+    try:
+        found = _spans_of(spark.table(name), hasher, length, stem, hot, partitions)
+        columns = "sha binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        columns += ", kept binary" if with_kept else ""
+        results = written(found.mapInArrow(_cut(hasher, length, stem, with_kept), columns), "cut-texts")
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # its files stay in the work folder
     rows = docs.select(F.col(id_col).alias("_id"), F.unhex(F.sha2(data, 256)).alias("sha"))
     return rows.join(results, "sha", "left").select(
         F.col("_id").alias(id_col), *[c for c in results.columns if c != "sha"]
