@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from tillwright.llm.jaccard import near_texts, one_of_each, runs_for
+from tillwright.llm.jaccard import choose, near_texts, one_of_each, runs_for
 from tillwright.llm.shingles import Shingler
 
 
@@ -72,3 +73,14 @@ def test_one_of_each_group_stays(texts):
 
 def test_runs_follow_from_the_recall():
     assert runs_for(0.9999) > runs_for(0.99) > runs_for(0.9) >= 1
+
+
+def test_pairs_at_the_threshold_share_a_path_as_often_as_promised():
+    """One set holds the other, so the pair shares the fewest tokens of the common sample."""
+    rng, runs, pairs = np.random.default_rng(3), runs_for(0.9999), 40_000
+    apart = 0
+    for _ in range(pairs):
+        tokens = np.sort(rng.integers(0, 1 << 64, 250, dtype=np.uint64))
+        part = np.sort(rng.permutation(tokens)[:200])
+        apart += not np.intersect1d(choose(tokens, runs)[0], choose(part, runs)[0]).size
+    assert apart <= 4

@@ -6,7 +6,8 @@ is large is split: its sets choose further tokens by a hash of the path so far,
 of the longer paths. Sets that only share a common passage part ways there, as its tokens are few
 among theirs; where a split would not lessen the work, as among many near copies, the bucket is
 worked off whole, in blocks. Small buckets compare all their sets exactly. The number of runs
-follows from the target recall for a pair right at the threshold; closer pairs are safer.
+follows from the target recall for a pair right at the threshold, with the sample that all runs and
+splits share and with a split on every level; closer pairs are safer.
 
 Equal sets are one class with a weight from the start. Choices are made from a sample of each set,
 so texts move once, and only to bring the sets of shared buckets together. Buckets with the same
@@ -31,8 +32,8 @@ from tillwright.llm.shingles import WORDS, Shingler, mix
 SIMILARITY = 0.8
 RECALL = 0.9999
 #: Tokens of a set that paths are chosen from, and tokens chosen in a run and in a split.
-SAMPLE = 32
-CHOSEN, CHOSEN_DEEPER = 2, 4
+SAMPLE = 64
+CHOSEN, CHOSEN_DEEPER = 2, 8
 #: Sets and tokens of one block of a bucket; a bucket of more sets is split if that lessens work.
 BLOCK, BLOCK_TOKENS = 4096, 1 << 22
 #: Pairs that a token adds up to which they are counted one by one; beyond, by a matrix product.
@@ -43,9 +44,42 @@ GAIN, DEPTH = 0.5, 4
 _SETS = "id long, hi long, lo long, size long, paths array<long>, sample array<long>"
 
 
+def _apart(shared: int, size: int, runs: int, chosen: int, splits: int) -> float:
+    """Chance that no path of two sets stays common, if they share `shared` of `size` sample tokens."""
+    first, deeper = 1 - (1 - min(1.0, chosen / size)) ** runs, min(1.0, CHOSEN_DEEPER / size)
+    lost = 0.0
+    for _ in range(splits):
+        lost = (1 - deeper * (1 - lost)) ** shared
+    return (1 - first * (1 - lost)) ** shared
+
+
+def missed(
+    runs: int, similarity: float = SIMILARITY, chosen: int = CHOSEN, splits: int = DEPTH - 1
+) -> float:
+    """Chance that a pair at the threshold is never compared, if all its buckets are split `splits` times.
+
+    All runs and splits choose from one sample. At worst one set holds the other: then a large pair shares
+    a Poisson number of sample tokens, `similarity * SAMPLE` on average, and a pair of small sets all
+    its common ones.
+    """
+    mean = similarity * SAMPLE
+    large = sum(
+        math.exp(shared * math.log(mean) - mean - math.lgamma(shared + 1))
+        * _apart(shared, SAMPLE, runs, chosen, splits)
+        for shared in range(math.ceil(mean + 12 * math.sqrt(mean)) + 12)
+    )
+    small = (
+        _apart(math.ceil(similarity * size - 1e-9), size, runs, chosen, splits) for size in range(1, SAMPLE + 1)
+    )
+    return max(large, *small)
+
+
 def runs_for(recall: float = RECALL, similarity: float = SIMILARITY, chosen: int = CHOSEN) -> int:
-    """A pair at the threshold shares `similarity * chosen` choices of a run on average."""
-    return math.ceil(math.log(1 / (1 - recall)) / (similarity * chosen))
+    """The least number of runs that misses a pair at the threshold with a chance of at most 1 - recall."""
+    for runs in range(1, 1000):
+        if missed(runs, similarity, chosen) <= 1 - recall:
+            return runs
+    raise ValueError(f"{SAMPLE} sampled tokens cannot give a recall of {recall} at a similarity of {similarity}")
 
 
 def _below(values: np.ndarray, share: float) -> np.ndarray:
