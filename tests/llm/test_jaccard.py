@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tillwright.llm.jaccard import choose, near_texts, one_of_each, runs_for
+from tillwright.llm.jaccard import choose, leaf_buckets, near_texts, one_of_each, runs_for
 from tillwright.llm.shingles import Shingler
 
 
@@ -84,3 +84,19 @@ def test_pairs_at_the_threshold_share_a_path_as_often_as_promised():
         part = np.sort(rng.permutation(tokens)[:200])
         apart += not np.intersect1d(choose(tokens, runs)[0], choose(part, runs)[0]).size
     assert apart <= 4
+
+
+def test_large_buckets_of_the_same_members_split_each_in_its_own_way(spark):
+    """A template puts 200 pairs into ten equal buckets; a pair shares 24 other sample tokens."""
+    rng, paths, rows = np.random.default_rng(1), list(range(10)), []
+    for number in range(400):
+        if number % 2 == 0:
+            sample = rng.integers(0, 1 << 63, 24).tolist()
+        rows.append((number, number, 0, 220, paths, sample))
+    schema = "id long, hi long, lo long, size long, paths array<long>, sample array<long>"
+    sets = spark.createDataFrame(rows, schema)
+    leaf = {}
+    for row in leaf_buckets(sets, sets.select("id", "hi", "lo"), block=8).collect():
+        leaf.setdefault(row["path"], set()).add(row["id"])
+    met = {i for ids in leaf.values() for i in ids if i % 2 == 0 and i + 1 in ids}
+    assert len(met) == 200

@@ -11,7 +11,8 @@ splits share and with a split on every level; closer pairs are safer.
 
 Equal sets are one class with a weight from the start. Choices are made from a sample of each set,
 so texts move once, and only to bring the sets of shared buckets together. Buckets with the same
-members are one. A link found in several buckets counts in the first of them only; tasks
+members are compared once, but a large one is split by the hash of each of its paths: the paths are
+the repeats that the recall counts on. A link found in several buckets counts in the first of them only; tasks
 return counts and local components, never pairs.
 """
 
@@ -143,15 +144,19 @@ def _deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _buckets(members: DataFrame) -> DataFrame:
-    """`path, n, tokens` of buckets of two or more, one for each set of members."""
+def _buckets(members: DataFrame, block: int) -> DataFrame:
+    """`path, n, tokens, same` of buckets of two or more; of small ones, one for each set of members.
+
+    Large ones all stay, as each may be split in its own way; `same` is equal for equal members.
+    """
     mark = F.xxhash64("id")
     found = members.groupBy("path").agg(
         F.count("*").alias("n"), F.sum("size").alias("tokens"), F.sum(mark % (1 << 40)).alias("s"),
         F.bit_xor(mark).alias("x"),
-    )
-    return found.where("n > 1").groupBy("n", "tokens", "s", "x").agg(F.min("path").alias("path")).select(
-        "path", "n", "tokens"
+    ).where("n > 1")
+    apart = F.when(F.col("n") > block, F.col("path"))
+    return found.groupBy("n", "tokens", "s", "x", apart.alias("apart")).agg(F.min("path").alias("path")).select(
+        "path", "n", "tokens", F.xxhash64("n", "tokens", "s", "x").alias("same")
     )
 
 
@@ -167,11 +172,10 @@ def leaf_buckets(
     leaves, level = None, 1
     while True:
         members = written(_shared_members(members, block), "members")
-        large = members.where(F.col("n") > block)
-        split = None
-        if level < depth and not large.isEmpty():
-            split = _split(large, sets)
-        part = members if split is None else members.join(split, "path", "left_anti")
+        part, large, split = members.where(F.col("n") <= block), members.where(F.col("n") > block), None
+        if not large.isEmpty():
+            whole, split = _split(large, sets, level < depth)
+            part = part.unionByName(large.join(whole, "path", "left_semi"))
         part = part.select("path", "id", F.greatest(
             F.ceil(F.col("n") / block), F.ceil(F.col("tokens") / BLOCK_TOKENS)
         ).cast("int").alias("blocks"))
@@ -184,12 +188,12 @@ def leaf_buckets(
 
 
 def _shared_members(members: DataFrame, block: int) -> DataFrame:
-    """`path, id, size, n, tokens` of the buckets of two or more that add pairs.
+    """`path, id, size, n, tokens, same` of the buckets of two or more that add pairs.
 
-    Buckets of the same members are one. If all members of a bucket have the same largest bucket,
+    Small buckets of the same members are one. If all members of a bucket have the same largest bucket,
     of one block at most, and that is another one, all its pairs are there.
     """
-    buckets = _buckets(members)
+    buckets = _buckets(members, block)
     shared = members.join(buckets, "path")
     rank = F.struct(F.col("n"), (-F.col("path")).alias("order"), F.col("path"))
     small = shared.where(F.col("n") <= block)
@@ -209,18 +213,24 @@ def _children(members: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(_deeper, "parent long, id long, size long, path long")
 
 
-def _split(large: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """Paths of the large buckets whose split lessens the pairs to compare; None if there are none."""
-    inner = _children(large, sets).groupBy("parent", "path").agg(F.count("*").alias("m"))
-    cost = inner.where("m > 1").groupBy("parent").agg(F.sum(F.col("m") * F.col("m")).alias("cost"))
-    sizes = large.groupBy("path").agg(F.max("n").alias("n"))
-    chosen = written(
-        sizes.join(cost, F.col("path") == F.col("parent"), "left")
-        .where(F.coalesce("cost", F.lit(0)) < F.lit(GAIN) * F.col("n") * F.col("n"))
-        .select("path"),
-        "split-buckets",
-    )
-    return None if chosen.isEmpty() else chosen
+def _split(large: DataFrame, sets: DataFrame, deeper: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Paths of the large buckets to compare whole, and of those to split (None if there are none).
+
+    A bucket is split if that lessens the pairs to compare, and no bucket of the same members is
+    compared whole; of those that are, one is.
+    """
+    sizes = large.groupBy("path").agg(F.max("n").alias("n"), F.max("same").alias("same"))
+    if deeper:
+        inner = _children(large, sets).groupBy("parent", "path").agg(F.count("*").alias("m"))
+        cost = inner.where("m > 1").groupBy("parent").agg(F.sum(F.col("m") * F.col("m")).alias("cost"))
+        less = F.coalesce("cost", F.lit(0)) < F.lit(GAIN) * F.col("n") * F.col("n")
+        sizes = sizes.join(cost, F.col("path") == F.col("parent"), "left")
+    else:
+        less = F.lit(False)
+    judged = written(sizes.select("path", "same", less.alias("less")), "split-buckets")
+    whole = judged.where(~F.col("less")).groupBy("same").agg(F.min("path").alias("path"))
+    split = judged.where("less").join(whole.select("same"), "same", "left_anti").select("path")
+    return whole.select("path"), None if split.isEmpty() else split
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
