@@ -30,3 +30,12 @@ def test_entry_has_rows_and_stable_columns(spark):
     df = registry.entry(spark)
     assert df.columns == registry.entry(spark).columns
     assert df.count() > 0
+
+
+def test_append_takes_every_line(spark, connection):
+    parts = {r["part"]: r["row_count"] for r in QUERIES["medallion_append_all"](spark, FOLDER).collect()}
+    lines, orders = connection.execute(
+        "SELECT COUNT(*), COUNT(DISTINCT l_orderkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+    ).fetchone()
+    assert parts["bronze 2001-08-02"] + parts["bronze 2001-08-03"] == lines
+    assert parts["silver_transactions"] == orders < lines

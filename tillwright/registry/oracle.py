@@ -612,6 +612,21 @@ silver AS (
   UNION ALL SELECT 'silver_transactions', CAST(SUM(row_count) AS BIGINT) FROM parts)
 SELECT * FROM parts UNION ALL SELECT * FROM silver
 UNION ALL SELECT 'TOTAL', CAST(SUM(row_count) AS BIGINT) FROM silver
+UNION ALL SELECT 'new managers', COUNT(*) FROM supplier WHERE s_suppkey % 2 = 0""",
+    "medallion_append_all": f"""WITH {_CALENDAR}, parts AS (
+  SELECT 'bronze 2001-08-02' AS part, COUNT(*) FILTER (l_orderkey % 2 = 0) AS row_count
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  UNION ALL SELECT 'bronze 2001-08-03', COUNT(*) FILTER (l_orderkey % 2 <> 0)
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+silver AS (
+  SELECT 'silver_customer_dim' AS part, COUNT(*) AS row_count FROM customer
+  UNION ALL SELECT 'silver_item_dim', COUNT(*) FROM part
+  UNION ALL SELECT 'silver_store_dim', COUNT(*) FROM supplier
+  UNION ALL SELECT 'silver_time_dim', COUNT(*) FROM calendar
+  UNION ALL SELECT 'silver_transactions', COUNT(DISTINCT l_orderkey)
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT * FROM parts UNION ALL SELECT * FROM silver
+UNION ALL SELECT 'TOTAL', CAST(SUM(row_count) AS BIGINT) FROM silver
 UNION ALL SELECT 'new managers', COUNT(*) FROM supplier WHERE s_suppkey % 2 = 0""",
     "medallion_columns": ORACLE["gold_customer_summary"],
 }
