@@ -64,3 +64,22 @@ def test_kept_rows_have_all_columns(docs):
 def test_empty_table(docs):
     assert mixing.mix(docs.limit(0)).count() == 0
     assert mixing.sample_mix(docs.limit(0)).count() == 0
+
+
+def tied(spark, *rows):
+    names = "_source string, _lang string, _tokens long, _weight double"
+    return spark.createDataFrame([(a, b, n, float(n)) for a, b, n in rows], names)
+
+
+def test_tied_dimensions_meet_their_targets(spark):
+    cells = tied(spark, ("a", "en", 9900), ("a", "de", 100), ("b", "en", 100), ("b", "de", 9900))
+    raked = mixing.rake(cells, {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.59, "de": 0.41}})
+    raked = raked.withColumn("w", F.col("_weight"))
+    assert shares(raked, "_source")["a"] == pytest.approx(0.5, abs=1e-9)
+    assert shares(raked, "_lang")["en"] == pytest.approx(0.59, abs=1e-9)
+
+
+def test_contradictory_targets_are_reported(spark):
+    cells = tied(spark, ("a", "en", 10), ("b", "de", 10))
+    with pytest.warns(UserWarning, match="source 0.*lang"):
+        mixing.rake(cells, {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.6, "de": 0.4}}, rounds=3)
