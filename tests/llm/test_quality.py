@@ -81,3 +81,21 @@ def test_gradients_by_differences():
             low = loss()
             w[name][at] += 1e-6
             assert abs((high - low) / 2e-6 - slope[at]) < 1e-5
+
+
+def test_long_texts_are_learned_from(spark, texts):
+    """All texts of one label are over the bound of bytes."""
+    long = "free money now!!! " * 20_000
+    docs = texts(*[(i, "A calm line of prose." if i % 2 else f"{i} {long}") for i in range(16)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(16)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    assert model is not None
+    low, high = quality.score_texts(model, quality.Encoder(), [long.encode(), b"A calm line of prose."])
+    assert low < high
+
+
+def test_passages_are_spread_over_a_long_text():
+    text = b"".join(bytes([65 + n]) * 10 for n in range(20)) + b"z"
+    assert quality.spread(text, 10, 1000) == text
+    parts = quality.spread(text, 10, 45)
+    assert len(parts) == 40 and [parts[k] - 65 for k in range(0, 40, 10)] == [0, 5, 10, 15]

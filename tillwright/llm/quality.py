@@ -8,8 +8,9 @@ weights over them, and a logistic score of the weighted passage representation:
     h = tanh(E f + e)        a = softmax over passages of w . (tanh(V h) * sigmoid(U h))
     score = sigmoid(c . sum(a h) + d)
 
-It is fitted on the driver from at most `TRAIN_DOCUMENTS` labelled documents of up to
-`TRAIN_BYTES` bytes each; every text is scored whole, where it is read, in slices of bounded size.
+It is fitted on the driver from at most `TRAIN_DOCUMENTS` labelled documents, of texts over
+`TRAIN_BYTES` bytes from passages spread evenly over them; every text is scored whole, where it is
+read, in slices of bounded size.
 """
 
 from __future__ import annotations
@@ -223,12 +224,22 @@ def held_out(id_col: str | Column = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
+def spread(text: bytes, passage: int, most: int) -> bytes:
+    """The text; of one over `most` bytes as many whole passages as they hold, evenly spread, one at least."""
+    if len(text) <= most:
+        return text
+    count, keep = -(-len(text) // passage), max(1, most // passage)
+    starts = [k * count // keep * passage for k in range(keep)]
+    return b"".join(text[start : start + passage] for start in starts)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "quality", most: int = TRAIN_DOCUMENTS,
+    label_col: str = "quality", most: int = TRAIN_DOCUMENTS, most_bytes: int = TRAIN_BYTES,
 ) -> Model | None:
     """The model of a bounded sample of labelled rows outside the held-out fifth.
 
+    A text over `most_bytes` is learned from that many bytes of its passages, spread evenly over it.
     Null ids, null labels and empty texts are left out. None if no row or only one label is left.
     """
     known = (
@@ -237,7 +248,7 @@ def fit(
         .orderBy(F.xxhash64("_id", F.lit(SEED)), "_label").limit(most)
     )
     size = F.octet_length(text_col)
-    texts = docs.where((size > 0) & (size <= TRAIN_BYTES)).select(
+    texts = docs.where(size > 0).select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text")
     )
     encoder = shipped(docs.sparkSession, Encoder())
@@ -245,7 +256,8 @@ def fit(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = arrived(encoder)
         for batch in batches:
-            rows = [b"".join(f.astype("<f4").tobytes() for f in code.document(t.as_py().encode()))
+            rows = [b"".join(f.astype("<f4").tobytes() for f in code.document(
+                        spread(t.as_py().encode(), code.passage, most_bytes)))
                     for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(rows, pa.binary())],
