@@ -161,3 +161,29 @@ SELECT doc_id, n AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(ru
 FROM sized JOIN kept USING (doc_id)
 LEFT JOIN (SELECT doc_id, sum(stop - first) AS gone, count(*) AS runs FROM spans GROUP BY doc_id) USING (doc_id)
 """
+
+ORACLE["op11_fill_middle"] = r"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS s,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+    FROM documents
+), drawn AS (
+    SELECT doc_id, t, u, len(u) AS n,
+           least(('0x' || s[1:8])::BIGINT % (len(u) + 1), ('0x' || s[9:16])::BIGINT % (len(u) + 1)) AS low,
+           greatest(('0x' || s[1:8])::BIGINT % (len(u) + 1), ('0x' || s[9:16])::BIGINT % (len(u) + 1)) AS high,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                     OR ('0x' || s[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+                WHEN ('0x' || s[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM units
+), cut AS (
+    SELECT doc_id, t, n, form, array_to_string(u[1:low], '') AS prefix,
+           array_to_string(u[low + 1:high], '') AS middle, array_to_string(u[high + 1:], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""

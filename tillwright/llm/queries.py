@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, embedding_dedup, exact_dedup, jaccard, mixing, quality, secret_scan, suffix_dedup, token_records, url_filters
+from tillwright.llm import bpe, embedding_dedup, exact_dedup, fill_middle, jaccard, mixing, quality, secret_scan, suffix_dedup, token_records, url_filters
 from tillwright.llm.common import table
 from tillwright.session import work_dir
 
@@ -79,3 +79,12 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.cut_repeats(table(spark, folder, "documents"))
+
+
+@query
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, folder, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
