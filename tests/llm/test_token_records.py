@@ -13,7 +13,6 @@ FILE = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(FILE)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
 
@@ -64,6 +63,10 @@ def test_shuffled_reads_by_the_index(spark, texts, documents, library):
     assert 0 < half < len(documents)
 
 
+def test_added_tokens_are_one_id(library):
+    assert library("x <|endoftext|> y") == [87, 220, 50256, 331, 2]
+
+
 def test_damage_is_found():
     data = records.frame(records.pack(5, b"\x01\x00", 2)) + b"\n"
     payload, end = records.unframe(data)
@@ -77,5 +80,11 @@ def test_damage_is_found():
 
 def test_memory_of_chunks_ages(library):
     coder = records.Encoder(open(FILE, encoding="utf-8").read(), memo=5)
-    for text in ("a b c d e f g, h! i's", "a b c", "k l m n, o p", "a b c d\n\n e", " \n ", "x" * 200 + " y"):
+    texts = (
+        "a b c d e f g, h! i's", "a b c", "k l m n, o p", "a b c d\n\n e", " \n ", "x" * 200 + " y", "", " ", "\n",
+        "one\nTwo.\nthree, four\n", " lead and trail ", "\nlead", "a\0b c\nd", "a   b\n c \nd", "it's\nhe'll\n's x",
+        "d\n1 2\n- x\né ü\nÀb", "<|endoftext|>", "x <|endoftext|> y", "a\n<|endoftext|>\nb <|endoftext|", "\n\n", "a\n",
+        " <|endoftext|> ",
+    )
+    for text in texts:
         assert coder.encode([text])[0] == b"".join(i.to_bytes(2, "little") for i in library(text)[:-1])

@@ -19,6 +19,8 @@ OTHER_SPACE = re.compile(
 MARKS = ".,;:!?#$%&*()-\"@^~+=<>|\\/_[]{}`"
 #: A word that is one pre-token, by letters on which all Unicode versions agree.
 WORD = re.compile("\x20?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+#: White space behind white space: its pre-tokens depend on what follows the run.
+RUNS = ("  ", "\n\n", " \n", "\n ")
 #: Characters of a text worked on at a time.
 PART = 1 << 20
 
@@ -36,6 +38,18 @@ def parts(text: str, size: int = PART) -> Iterator[str]:
         yield text[start:]
 
 
+def chunks(text: str) -> list[str]:
+    """The text cut before white space that follows visible text; together the chunks are the text.
+
+    Where no white space follows white space every space and newline begins a chunk, which needs no
+    expression: a character that the text does not hold is put there and split at.
+    """
+    if "\0" in text or any(run in text for run in RUNS):
+        return CHUNK.findall(text)
+    cut = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+    return cut if cut[0] else cut[1:]
+
+
 def marks_apart(chunk: str) -> tuple[str, str]:
     """A chunk as a word and the marks behind it, which are pre-tokens apart; or whole and empty."""
     word = chunk.rstrip(MARKS)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwright.llm.chunks import CHUNK, OTHER_SPACE, PART, WORD, marks_apart, parts
+from tillwright.llm.chunks import OTHER_SPACE, PART, WORD, chunks, marks_apart, parts
 from tillwright.llm.common import arrived, shipped, whole
 from tillwright.operators.joins import scanned_bytes as stored_bytes
 
@@ -49,6 +49,7 @@ def _byte_letters() -> dict[int, int]:
 
 
 BYTE_LETTERS = _byte_letters()
+SPACE_LETTER = chr(BYTE_LETTERS[32])
 
 _INDEX = (
     "file string, offset long, length long, doc_id long, n_tokens long, ids_crc32 long, "
@@ -98,7 +99,8 @@ class Encoder:
     """Texts to the bytes of their ids, by the tokenizers library; remembers chunks.
 
     A word of letters is one pre-token, so it goes straight to the library's model; any other chunk not
-    seen lately goes through all of the library's steps.
+    seen lately goes through all of the library's steps. A text that holds the string of an added token goes
+    to the library whole.
     """
 
     def __init__(self, file: str, memo: int = MEMO):
@@ -111,7 +113,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(self.file)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [token.content for token in self.library.get_added_tokens_decoder().values()]
         vocabulary = self.library.get_vocab()
         self.width = 2 if max(vocabulary.values(), default=0) < 1 << 16 else 4
         self.kind = "<u2" if self.width == 2 else "<u4"
@@ -133,41 +135,46 @@ class Encoder:
             self._load()
         out: list[bytes] = []
         for text in texts:
-            if OTHER_SPACE.search(text):
+            if OTHER_SPACE.search(text) or any(token in text for token in self.added):
                 out.append(self._ids([text])[0].tobytes())
             else:
                 out.append(b"".join(self._part(part) for part in parts(text)))
         return out
 
     def _part(self, text: str) -> bytes:
-        chunks = CHUNK.findall(text)
-        ids = list(map(self.memo.get, chunks))
+        cut = chunks(text)
+        ids = list(map(self.memo.get, cut))
         if None in ids:
             unknown = [i for i, own in enumerate(ids) if own is None]
-            self._recall({chunks[i] for i in unknown})
+            self._recall({cut[i] for i in unknown})
             for i in unknown:
-                ids[i] = self.memo[chunks[i]]
+                ids[i] = self.memo[cut[i]]
             if len(self.memo) > self.limit:
                 self.memo, self.older = {}, self.memo
         return b"".join(ids)
 
-    def _recall(self, chunks: set[str]) -> None:
+    def _recall(self, unknown: set[str]) -> None:
         """Brings chunks to memory: from the older generation, by their parts, or by the library.
 
-        A word with marks behind it is the word and the marks.
+        A word with a newline before it or marks behind it is the newline, the word and the marks.
         """
-        memo, older, missing, marked = self.memo, self.older, set(), []
-        for chunk in chunks:
+        memo, older, missing, divided = self.memo, self.older, set(), []
+        for chunk in unknown:
             ids = older.get(chunk)
             if ids is not None:
                 memo[chunk] = ids
                 continue
             word, marks = marks_apart(chunk)
-            if not marks:
+            own = [marks] if marks else []
+            if word[0] == "\n" and word[1:2].isalpha():
+                own = ["\n", word[1:], *own]
+            elif own:
+                own = [word, *own]
+            else:
                 missing.add(chunk)
                 continue
-            marked.append((chunk, word, marks))
-            for part in (word, marks):
+            divided.append((chunk, own))
+            for part in own:
                 if part not in memo:
                     if part in older:
                         memo[part] = older[part]
@@ -175,14 +182,17 @@ class Encoder:
                         missing.add(part)
         if missing:
             self._learn(list(missing))
-        for chunk, word, marks in marked:
-            memo[chunk] = memo[word] + memo[marks]
+        for chunk, own in divided:
+            memo[chunk] = b"".join([memo[part] for part in own])
 
     def _learn(self, missing: list[str]) -> None:
         codes, others = self.codes, []
         for chunk in missing:
             if WORD.fullmatch(chunk):
-                letters = chunk.encode().decode("latin-1").translate(BYTE_LETTERS)
+                if chunk.isascii():
+                    letters = chunk.replace(" ", SPACE_LETTER)
+                else:
+                    letters = chunk.encode().decode("latin-1").translate(BYTE_LETTERS)
                 self.memo[chunk] = b"".join([codes[t.id] for t in self.tokenize(letters)])
             else:
                 others.append(chunk)
