@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, embedding_dedup, exact_dedup, fill_middle, jaccard, mixing, quality, secret_scan, suffix_dedup, token_records, url_filters
+from tillwright.llm import bpe, embedding_dedup, exact_dedup, fill_middle, jaccard, mixing, packing, quality, secret_scan, suffix_dedup, token_records, url_filters
 from tillwright.llm.common import table
 from tillwright.session import work_dir
 
@@ -88,3 +88,8 @@ def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+@query
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
