@@ -187,3 +187,47 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
        sha256(t) AS restored_sha256
 FROM cut
 """
+
+ORACLE["op13_conversation_trie"] = """
+WITH own AS MATERIALIZED (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS MATERIALIZED (
+    SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(str_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+        lambda crc, byte: list_reduce(
+            [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))
+    ), 4294967295::BIGINT) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM own)
+), kept AS MATERIALIZED (
+    SELECT convs.conv_id, 0 AS part, pos, role, text FROM convs JOIN own ON own.conv_id = base AND pos <= h
+    UNION ALL
+    SELECT conv_id, 1, pos, role, text FROM convs JOIN own USING (conv_id) WHERE pos > h
+), turns AS MATERIALIZED (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth FROM kept
+), paths AS MATERIALIZED (
+    SELECT conv_id, depth, octet_length(encode(text)) AS bytes,
+           md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY depth)) || depth AS node
+    FROM turns
+    UNION ALL SELECT conv_id, 0, 0, 'root' FROM convs
+), ending AS (
+    SELECT conv_id, max(depth) AS len FROM paths GROUP BY conv_id
+), nodes AS MATERIALIZED (
+    SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+           string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len) AS ends
+    FROM paths JOIN ending USING (conv_id) GROUP BY node
+), linked AS MATERIALIZED (
+    SELECT nodes.*, up.node AS parent FROM nodes LEFT JOIN paths up ON up.conv_id = nodes.conv_id AND up.depth = nodes.depth - 1
+), children AS MATERIALIZED (
+    SELECT parent AS node, count(*) AS n_children FROM linked WHERE parent IS NOT NULL GROUP BY parent
+), below AS MATERIALIZED (
+    SELECT up.node, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * nodes.bytes) AS saved
+    FROM nodes LEFT JOIN children USING (node)
+    JOIN paths up ON up.conv_id = nodes.conv_id AND up.depth <= nodes.depth GROUP BY up.node
+)
+SELECT linked.conv_id, linked.depth, parents.conv_id AS parent_conv_id, linked.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(linked.ends, '')) AS ends_sha256
+FROM linked JOIN below ON below.node = linked.node LEFT JOIN children ON children.node = linked.node
+LEFT JOIN nodes parents ON parents.node = linked.parent
+"""

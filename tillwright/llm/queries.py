@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, embedding_dedup, exact_dedup, fill_middle, jaccard, mixing, packing, quality, secret_scan, suffix_dedup, token_records, url_filters
+from tillwright.llm import bpe, conversation_trie, embedding_dedup, exact_dedup, fill_middle, jaccard, mixing, packing, quality, secret_scan, suffix_dedup, token_records, url_filters
 from tillwright.llm.common import table
 from tillwright.session import work_dir
 
@@ -93,3 +93,9 @@ def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_trie.numbered(table(spark, folder, "conversations"))
+    return conversation_trie.trie(conversation_trie.regrown(turns))
