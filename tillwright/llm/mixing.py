@@ -16,7 +16,7 @@ import json
 import warnings
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import whole, written
@@ -31,6 +31,8 @@ KEEP = 0.75
 #: tenth for more to follow.
 CLOSE = 1e-10
 ROUNDS = 25
+#: Rounds in one job.
+STEP = 4
 SEED = 42
 
 
@@ -113,38 +115,47 @@ def rake(
 ) -> DataFrame:
     """`cells` with `_weight` raked to the targets; weights sum to the tokens of all cells.
 
-    Rounds go on until the relative error is at most `close`, or `rounds` of them have not lowered it by a
+    Rounds go on until the relative error is at most `close`, or about `rounds` of them have not lowered it by a
     tenth. So it is with targets that contradict each other over empty cells, which cannot all hold;
     then the weights are those after the last round, and a warning names the error of each dimension.
+
+    Every cell carries its targets, so a round is a sum over each dimension and nothing is joined. `STEP`
+    rounds are one job, and the error is observed as it writes.
     """
     total = float(cells.agg(F.sum("_tokens")).first()[0] or 0)
     shares = {d: target_shares(cells, d, t) for d, t in targets.items()}
+    for dimension, share in shares.items():
+        aim = share.select(f"_{dimension}", (F.col("_share") * F.lit(total)).alias(f"_aim_{dimension}"))
+        cells = cells.join(aim, f"_{dimension}")
+    aims = [f"_aim_{d}" for d in shares]
+    cells = written(cells, "mix-aims")
+    patience = max(1, rounds // STEP)
     errors: list[float] = []
     while True:
-        for dimension, share in shares.items():
-            name = f"_{dimension}"
-            now = cells.groupBy(name).agg(F.sum("_weight").alias("_now"))
-            factor = now.join(share, name).select(
-                name,
-                F.when(F.col("_now") > 0, F.col("_share") * F.lit(total) / F.col("_now"))
-                .otherwise(0.0).alias("_factor"),
-                ((F.col("_now") <= 0) & (F.col("_share") <= 0)).alias("_holds"),
-            )
-            cells = cells.join(factor, name).withColumn("_weight", F.col("_weight") * F.col("_factor"))
-            off = F.when(F.col("_holds"), 0.0).otherwise(F.abs(F.col("_factor") - 1))
-            cells = cells.withColumn(f"_off_{dimension}", off).drop("_factor", "_holds")
-        offs = [f"_off_{d}" for d in shares]
-        cells = written(cells.withColumn("_off", F.greatest(F.lit(0.0), *offs)).drop(*offs), "mix-round")
-        off = cells.agg(F.max("_off")).first()[0]
-        cells = cells.drop("_off")
+        for number in range(STEP):
+            for dimension in shares:
+                now = F.sum("_weight").over(Window.partitionBy(f"_{dimension}"))
+                cells = cells.withColumn("_now", now)
+                aim, last = F.col(f"_aim_{dimension}"), number == STEP - 1
+                factor = F.when(F.col("_now") > 0, aim / F.col("_now")).otherwise(0.0)
+                holds = (F.col("_now") <= 0) & (aim <= 0)
+                cells = cells.withColumns({
+                    "_weight": F.col("_weight") * factor,
+                    **({f"_off_{dimension}": F.when(holds, 0.0).otherwise(F.abs(factor - 1))} if last else {}),
+                }).drop("_now")
+        offs = [F.col(f"_off_{d}") for d in shares]
+        seen = Observation()
+        cells = cells.observe(seen, F.max(F.greatest(F.lit(0.0), *offs)).alias("off"))
+        cells = written(cells.drop(*(f"_off_{d}" for d in shares)), "mix-rounds")
+        off = seen.get["off"]
         if off is None or off <= close:
-            return cells
+            return cells.drop(*aims)
         errors.append(off)
-        if len(errors) > rounds and min(errors[-rounds:]) > 0.9 * min(errors[:-rounds]):
+        if len(errors) > patience and min(errors[-patience:]) > 0.9 * min(errors[:-patience]):
             break
     left = ", ".join(f"{d} {e:.2g}" for d, e in residuals(cells, shares).items())
     warnings.warn(f"targets of the mixture do not all hold; relative errors left: {left}", stacklevel=2)
-    return cells
+    return cells.drop(*aims)
 
 
 def calibrate(cells: DataFrame, keep: float = KEEP) -> DataFrame:
@@ -196,7 +207,12 @@ def sample_mix(
     docs: DataFrame, targets: Mapping[str, Mapping[str, float] | float] = TARGETS, keep: float = KEEP,
     id_col: str = "doc_id", text_col: str = "text", topic: Column | None = None,
 ) -> DataFrame:
-    """The rows of `docs` that :func:`mix` draws, with their columns."""
-    rows = _labelled(docs, id_col, text_col, topic)
+    """The rows of `docs` that :func:`mix` draws, with their columns, whatever the names of those.
+
+    Nulls, empty texts, repeated rows, rows without an id and empty tables are as in :func:`mix`; texts of any
+    length are counted whole.
+    """
+    boxed = docs.select(F.struct("*").alias("_row"), id_col, text_col, "source", "lang")
+    rows = _labelled(boxed, id_col, text_col, topic)
     drawn = _drawn(rows, cell_tokens(rows), targets, keep)
-    return drawn.where("_sampled").select(*docs.columns)
+    return drawn.where("_sampled").select("_row.*")
