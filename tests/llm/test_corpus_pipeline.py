@@ -79,9 +79,51 @@ def test_stages_equal_brute_force(spark):
             docs = spark.createDataFrame([tuple(r[c] for c in schema.names) for r in rows], schema)
 
 
+CLASHING = ["_quality_score", "_score", "_text", "_row", "_sha", "_owner_id", "_owner_sha", "_kept_id", "_id", "_cell", "_tokens",
+            "_draw", "_source", "_lang", "_topic", "_chance", "_sampled", "_weight", "_salt", "size", "hi", "lo", "id", "class", "score"]
+
+
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    long = ("Than inther thed ofbleth the thand erthat. " * 3000).strip()
+    rows = [(1, None), (2, ""), (3, "one"), (4, "one"), (4, "one"), (5, long), (6, long + " tail"), (None, "one"), (None, None),
+            (7, "a  b\t\tc \n d"), (8, "a b c d"), (9, "\u00e9\u00fc \u6f22\u5b57 it's \x1c x"), (10, long)]
+    full = [(i, t, ["en", None, "de"][n % 3], ["s1", "s2", None][n % 3], len(t or ""), *[f"{c} {n}" for c in CLASHING])
+            for n, (i, t) in enumerate(rows)]
+    names = ", ".join(f"`{c}` string" for c in CLASHING)
+    return spark.createDataFrame(full, f"doc_id long, text string, lang string, source string, n_chars int, {names}").repartition(3)
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_keep_odd_rows_and_clashing_columns(spark, odd_docs, stage):
+    """What stays is what came in, every column as it was, and as many rows as without the extra columns."""
+    name, run = corpus_pipeline.STAGES[stage]
+    plain = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    kept = run(spark, odd_docs, FOLDER)
+    assert kept.columns == odd_docs.columns
+    rows = [tuple(r) for r in kept.collect()]
+    came = [tuple(r) for r in odd_docs.collect()]
+    assert rows and set(rows) <= set(came)
+    again = sorted(str(tuple(r)[:2]) for r in run(spark, plain, FOLDER).collect())
+    assert sorted(str(r[:2]) for r in rows) == again
+    assert run(spark, odd_docs.limit(0), FOLDER).collect() == []
+    if name == "exact dedup":
+        assert sorted(str(r[0]) for r in rows) == ["1", "3", "5", "6", "7", "9"]
+    if name == "n-gram jaccard join":
+        assert sorted(str(r[0]) for r in rows) == sorted(["1", "2", "3", "5", "7", "9", "None", "None"])
+
+
+def test_last_stage_on_odd_rows(spark, odd_docs):
+    found = corpus_pipeline.STAGES[-1][1](spark, odd_docs, FOLDER).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in odd_docs.collect()}
+    assert len(found) == 13
+    assert all(r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest() for r in found if r["doc_id"])
+    assert corpus_pipeline.STAGES[-1][1](spark, odd_docs.limit(0), FOLDER).collect() == []
+
+
 def test_every_operator_is_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in names and set(registry.ORACLE) < set(registry.QUERIES)
 
 

@@ -295,12 +295,17 @@ def exact_dedup(
 def drop_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trie_bytes: int = TRIE_BYTES
 ) -> DataFrame:
-    """The rows of `docs` that :func:`exact_dedup` keeps, with all their columns."""
+    """The rows of `docs` that :func:`exact_dedup` keeps, with all their columns, whatever their names.
+
+    Null texts are empty ones, texts of any length are compared whole, and one of several rows that share
+    id and text stays. An empty table stays empty.
+    """
     owners = text_owners(docs, id_col, text_col, trie_bytes)
-    keyed = docs.withColumn("_sha", F.sha2(F.regexp_replace(whole(text_col), WHITE, " "), 256))
+    sha = F.sha2(F.regexp_replace(whole(text_col), WHITE, " "), 256)
+    keyed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_id"), sha.alias("_sha"))
     own = owners.select(F.col("_least").alias("_owner_id"), F.col("_sha").alias("_owner_sha"))
-    same = (F.col("_sha") == F.col("_owner_sha")) & F.col(id_col).cast("long").eqNullSafe(F.col("_owner_id"))
+    same = (F.col("_sha") == F.col("_owner_sha")) & F.col("_id").eqNullSafe(F.col("_owner_id"))
     stay = keyed.join(own, same, "left_semi")
     if not owners.where("_carriers > 1").isEmpty():
-        stay = stay.dropDuplicates([id_col, "_sha"])
-    return stay.drop("_sha")
+        stay = stay.dropDuplicates(["_id", "_sha"])
+    return stay.select("_row.*")

@@ -472,7 +472,12 @@ def _linked(texts, owner, leaves, shingler, similarity: float) -> DataFrame:
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
-    """The rows of `docs` that :func:`near_texts` keeps, with their columns."""
+    """The rows of `docs` that :func:`near_texts` keeps, with their columns, whatever the names of those.
+
+    Null and empty texts, and rows without an id, stay; so do all rows that share an id that stays. Texts of
+    any length are compared whole. An empty table stays empty.
+    """
     kept = near_texts(docs, id_col, text_col, similarity).where("kept")
     ids = kept.select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(ids, F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    boxed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_id"))
+    return boxed.join(ids, F.col("_id").eqNullSafe(F.col("_kept_id")), "left_semi").select("_row.*")

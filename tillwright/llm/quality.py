@@ -240,7 +240,8 @@ def fit(
     """The model of a bounded sample of labelled rows outside the held-out fifth.
 
     A text over `most_bytes` is learned from that many bytes of its passages, spread evenly over it.
-    Null ids, null labels and empty texts are left out. None if no row or only one label is left.
+    Null ids, null labels and empty texts are left out. An id with two labels gives a row for each, and rows that
+    repeat an id each give one, within the bound. None if no row or only one label is left.
     """
     known = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
@@ -330,7 +331,10 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", out: str
 
 
 def good(docs: DataFrame, model: Model | None, text_col: str = "text", least: float = GOOD) -> DataFrame:
-    """The rows whose score is at least `least`, with their columns."""
-    return score(docs, model, text_col, "_quality_score").where(F.col("_quality_score") >= least).drop(
-        "_quality_score"
-    )
+    """The rows whose score is at least `least`, with their columns, whatever the names of those.
+
+    Null texts are empty ones and have the score of no evidence; texts of any length are scored whole. Repeated
+    rows stay or go together. An empty table stays empty.
+    """
+    boxed = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("_text"))
+    return score(boxed, model, "_text", "_score").where(F.col("_score") >= least).select("_row.*")
