@@ -5,9 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tillwright.operators import joins
+from tillwright.operators import bitmaps, joins
 from tillwright.operators.audit import row_counts
-from tillwright.operators.dedup import distinct_values, latest_per_key
+from tillwright.operators.dedup import distinct_values, latest_per_key, newest_rows
 
 HOT = 7
 
@@ -168,3 +168,60 @@ def test_duplicate_removal_beyond_the_broadcast_bound(frame, monkeypatch):
     monkeypatch.setattr("tillwright.operators.dedup.FEW_KEYS", 0)
     df = frame("k int, t int", (1, 1), (1, 3), (2, 5), (None, 7))
     assert sorted(map(tuple, latest_per_key(df, ["k"], ["t"]).collect()), key=str) == [(1, 3), (2, 5), (None, 7)]
+
+
+def test_latest_row_is_one_scan_that_combines_before_the_shuffle(frame, table):
+    df = table(frame("k int, t int, v string", (1, 1, "a"), (1, 2, "b"), (None, 1, "c")))
+    latest = latest_per_key(df, ["k"], ["t"])
+    assert sorted(map(tuple, latest.collect()), key=str) == sorted([(1, 2, "b"), (None, 1, "c")], key=str)
+    plan = latest._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    before, after = plan.split("Exchange")
+    assert "WindowGroupLimit" in before and "Partial" in after and "SortAggregate" not in plan
+
+
+def test_latest_row_of_a_hot_key_against_brute_force(frame):
+    rng = random.Random(8)
+    rows = [(HOT if i % 3 == 0 else None if i % 7 == 1 else rng.randrange(30), rng.choice([None, 1, 2, 3]), rng.choice("ab")) for i in range(900)]
+    rows += [(HOT, 3, "b")] * 50
+    best = {}
+    for k, t, v in rows:
+        if k is not None:
+            best[k] = max(best.get(k, (False, 0, "")), (t is not None, t or 0, v))
+    expected = [(k, t if known else None, v) for k, (known, t, v) in best.items()] + [r for r in rows if r[0] is None]
+    found = latest_per_key(frame("k int, t int, v string", *rows).repartition(6), ["k"], ["t"])
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_newest_rows_keep_all_of_the_newest_batch(frame, monkeypatch, few):
+    monkeypatch.setattr("tillwright.operators.dedup.FEW_KEYS", few)
+    rows = [(HOT if i % 3 == 0 else None if i % 6 == 1 else i % 40, i // 300, i) for i in range(900)] + [(99, None, 1), (99, None, 2)]
+    newest = {}
+    for k, b, _ in rows:
+        newest[k] = max(newest.get(k, -1), -1 if b is None else b)
+    expected = [r for r in rows if r[0] is None or (-1 if r[1] is None else r[1]) == newest[r[0]]]
+    found = newest_rows(frame("k int, b int, v int", *rows).repartition(5), "k", "b")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_key_sets_are_exact(frame, monkeypatch):
+    keys = [None, 0, 1, 2, -1, -5, 32767, 32768, 32769, 65536, -32768, -32769, 2**62, -2**62, 100, 101, 101]
+    df = frame("g string, k long", *[("ab"[i % 2], k) for i, k in enumerate(keys)])
+    for group in "ab":
+        own = [k for i, k in enumerate(keys) if "ab"[i % 2] == group]
+        sets = bitmaps.key_sets(df.where(f"g = '{group}'"), "k")
+        assert bitmaps.distinct_count(sets).first()["n"] == len(set(own) - {None})
+        left = [k for k in keys if k is None or k not in own]
+        for limit in (1 << 25, 0):  # broadcast, then shuffled by bucket
+            monkeypatch.setattr(bitmaps, "BROADCAST_LIMIT_BYTES", limit)
+            assert sorted((r["k"] for r in bitmaps.without(df, "k", sets).collect()), key=str) == sorted(left, key=str)
+    per_group = bitmaps.key_sets(df, "k", "g")
+    merged = bitmaps.united(per_group)
+    assert bitmaps.distinct_count(merged).first()["n"] == len(set(keys) - {None})
+    counts = {r["g"]: r["n"] for r in bitmaps.distinct_count(per_group, "g").collect()}
+    assert counts == {g: len({k for i, k in enumerate(keys) if "ab"[i % 2] == g} - {None}) for g in "ab"}
+    other = bitmaps.key_sets(frame("k long", (65536,), (7,)), "k")
+    holder = "ab"[keys.index(65536) % 2]
+    assert [r["g"] for r in bitmaps.meeting(per_group, other, "g").collect()] == [holder]
+    assert bitmaps.key_sets(df.limit(0), "k").count() == 0
