@@ -37,16 +37,18 @@ CUSTOMER_KEYS = ("customer_id", *ATTRIBUTES["customer_id"])
 
 
 def star_join(
-    txns: DataFrame, dimensions: dict[str, DataFrame], key_tables: Mapping[str, DataFrame] | None = None
+    txns: DataFrame, dimensions: dict[str, DataFrame], key_tables: Mapping[str, DataFrame] | None = None,
+    more: Sequence[str] = (),
 ) -> DataFrame:
     """Sales lines with the attributes of the given dimensions, keyed by join column.
 
     Every line stays, with null attributes where a key has no dimension row. Hot keys of
     dimensions too large to broadcast are looked for in `key_tables`, the tables that hold the key
     columns before any join; without them in `txns`, which should then be a stored table. A query over
-    the fact may leave out dimensions it takes nothing from, provided their keys are unique.
+    the fact may leave out dimensions it takes nothing from, provided their keys are unique. `more` names
+    further columns of the lines to keep.
     """
-    fact = txns.select(*KEYS, *MEASURES, *LABELS)
+    fact = txns.select(*KEYS, *MEASURES, *LABELS, *more)
     large = [k for k, df in dimensions.items() if not fits_broadcast(df)]
     hot = hot_in_tables({k: (key_tables or {}).get(k, txns) for k in large})
     # Shuffled joins come first, while the rows are narrow.
@@ -57,7 +59,7 @@ def star_join(
         else:
             fact = fact.join(F.broadcast(lookup), key, "left")
     attributes = [c for key in ATTRIBUTES if key in dimensions for c in ATTRIBUTES[key]]
-    return fact.select(*KEYS, *attributes, *MEASURES, *LABELS)
+    return fact.select(*KEYS, *attributes, *MEASURES, *LABELS, *more)
 
 
 def gold_fact_sales(
@@ -120,7 +122,7 @@ def gold_customer_summary(
     thresholds: bands.SegmentThresholds = bands.SegmentThresholds(),
 ) -> DataFrame:
     """Recency, frequency and spend per customer; orders are counted as sales lines."""
-    return _with_segment(_customer_sums(fact, CUSTOMER_KEYS), as_of, thresholds)
+    return with_segment(_customer_sums(fact, CUSTOMER_KEYS), as_of, thresholds)
 
 
 def gold_customer_summary_of(
@@ -135,7 +137,7 @@ def gold_customer_summary_of(
     # One row per customer is left, so no key is hot.
     named = attach(sums, customers.select(*CUSTOMER_KEYS), "customer_id", "left", hot={})
     ordered = [*CUSTOMER_KEYS, *[c for c in sums.columns if c != "customer_id"]]
-    return _with_segment(named.select(*ordered), as_of, thresholds)
+    return with_segment(named.select(*ordered), as_of, thresholds)
 
 
 def _customer_sums(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -151,7 +153,7 @@ def _customer_sums(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _with_segment(summary: DataFrame, as_of, thresholds: bands.SegmentThresholds) -> DataFrame:
+def with_segment(summary: DataFrame, as_of, thresholds: bands.SegmentThresholds) -> DataFrame:
     last, first = F.col("last_purchase_date"), F.col("first_purchase_date")
     return summary.withColumns({
         "days_since_purchase": dates.days_between(dates.as_of_date(as_of), last),

@@ -8,11 +8,9 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial, reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +18,7 @@ from tillwright.functions.bands import SegmentThresholds
 from tillwright.functions.money import STANDARD_COST_FACTOR
 from tillwright.operators.audit import row_counts
 from tillwright.operators.dedup import latest_per_key
-from tillwright.plans import gold, quality, silver, views
+from tillwright.plans import gold, quality, refresh, silver, views
 from tillwright.schemas import FILE_NAMES, SOURCES
 from tillwright.sources.flat_files import read_flat_file, stamp
 from tillwright.sources.lake import Lake
@@ -44,15 +42,6 @@ class RunResult:
     failed_checks: list = field(default_factory=list)
 
 
-def _side_by_side(lake: Lake, loads: dict[str, Callable[[], int]]) -> dict[str, int]:
-    """Runs loads that do not depend on each other at the same time, so that the cluster is not
-    left to one small table; returns the rows each wrote. Any failure is raised."""
-    in_session = inheritable_thread_target(lake.spark)
-    with ThreadPoolExecutor(max_workers=len(loads)) as pool:
-        running = {name: pool.submit(in_session(load)) for name, load in loads.items()}
-        return {name: load.result() for name, load in running.items()}
-
-
 def load_bronze(
     lake: Lake,
     raw_dir: str,
@@ -83,12 +72,32 @@ def load_all_bronze(
     lake: Lake, raw_dir: str, batch_ts: datetime.datetime, append: bool = False
 ) -> dict[str, int]:
     """The five source files of one batch."""
-    return _side_by_side(lake, {
+    return lake.side_by_side({
         f"bronze_{table}": partial(load_bronze, lake, raw_dir, table, batch_ts, append=append)
         for table in SOURCES
     })
 
 
+def _refinements(as_of, cost_factor) -> dict[str, Callable[[DataFrame], DataFrame]]:
+    return {
+        "customer_dim": lambda df: silver.silver_customer(df, as_of),
+        "item_dim": silver.silver_item,
+        "store_dim": lambda df: silver.silver_store(df, as_of),
+        "time_dim": silver.silver_calendar,
+        "transactions": lambda df: silver.silver_transactions(df, cost_factor),
+    }
+
+
+def batch_sources(
+    as_of: datetime.date | str | None = None, cost_factor: str | float = STANDARD_COST_FACTOR, dedup: bool = False
+) -> list[refresh.Source]:
+    """The five tables as daily batches refresh them."""
+    return [
+        refresh.Source(table, BUSINESS_KEYS[table], refine, dedup)
+        for table, refine in _refinements(as_of, cost_factor).items()
+    ]
+
+
 def build_silver(
     lake: Lake,
     as_of: datetime.date | str | None = None,
@@ -96,13 +105,7 @@ def build_silver(
     dedup: bool = False,
 ) -> dict[str, int]:
     """The five silver tables. With `dedup` the last loaded row of each business key stays."""
-    refine = {
-        "customer_dim": lambda df: silver.silver_customer(df, as_of),
-        "item_dim": silver.silver_item,
-        "store_dim": lambda df: silver.silver_store(df, as_of),
-        "time_dim": silver.silver_calendar,
-        "transactions": lambda df: silver.silver_transactions(df, cost_factor),
-    }
+    refine = _refinements(as_of, cost_factor)
 
     def load(table: str) -> int:
         bronze = lake.read(f"bronze_{table}")
@@ -111,7 +114,7 @@ def build_silver(
         ready = refine[table](bronze).withColumn("_updated_at", F.current_timestamp())
         return lake.write(ready, f"silver_{table}")
 
-    return _side_by_side(lake, {f"silver_{table}": partial(load, table) for table in refine})
+    return lake.side_by_side({f"silver_{table}": partial(load, table) for table in refine})
 
 
 def silver_tables(lake: Lake) -> dict[str, DataFrame]:
@@ -145,7 +148,7 @@ def build_gold(
         "gold_customer_summary": gold.gold_customer_summary(written, as_of, thresholds),
     }
     loads = {name: partial(lake.write, df, name) for name, df in summaries.items()}
-    return rows | _side_by_side(lake, loads)
+    return rows | lake.side_by_side(loads)
 
 
 def run_medallion(
@@ -163,18 +166,29 @@ def run_medallion(
 ) -> RunResult:
     """Runs every stage. A failed check stops the job before gold, unless `gate` is off.
 
-    With `append` the files are one more batch: bronze keeps the batches of other days, and silver
-    takes the latest row of each business key over all of them.
+    With `append` the files are one more batch: bronze keeps the batches of other days, and of each
+    business key silver takes the rows of its newest batch, all of them; with `dedup` the latest one.
+    Only partitions that the batch changes are made again (:mod:`tillwright.plans.refresh`); tables are
+    partitioned by batch then, and `partition_by` must be left empty.
     """
+    if append and partition_by:
+        raise ValueError("with append=True the tables are partitioned by batch")
     lake.create()
     batch_ts = batch_ts or datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
     result = RunResult()
     result.rows.update(load_all_bronze(lake, raw_dir, batch_ts, append))
-    result.rows.update(build_silver(lake, as_of, dedup=dedup or append))
+    if append:
+        result.rows.update(refresh.refresh_silver(lake, batch_sources(as_of, dedup=dedup), batch_ts.date()))
+    else:
+        result.rows.update(build_silver(lake, as_of, dedup=dedup))
     checks = quality.report(silver_tables(lake), rules)
     lake.write(checks, "quality_report")
     result.failed_checks = quality.enforce(lake.read("quality_report"), blocking=gate)
-    result.rows.update(build_gold(lake, as_of, thresholds, partition_by))
+    if append:
+        tables = silver_tables(lake)
+        result.rows.update(refresh.refresh_gold(lake, tables, as_of, thresholds, refresh.gold_days(lake)))
+    else:
+        result.rows.update(build_gold(lake, as_of, thresholds, partition_by))
     if catalog_views:
         views.create_catalog_views(lake.spark, lake.database)
     return result

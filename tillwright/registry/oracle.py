@@ -544,6 +544,15 @@ WHERE total_revenue < 3000
 }
 
 
+# Of every tenth order only the lines that came again are left, if any did; a seventh of the customers rose.
+_REFRESHED = _FACT.replace(
+    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey)",
+    """FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  WHERE l_orderkey % 10 <> 0 OR l_quantity <= 25
+     OR l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity <= 25))""",
+).replace("c.loyalty_tier,", "CASE WHEN c.customer_id % 7 = 0 THEN 'Gold' ELSE c.loyalty_tier END AS loyalty_tier,")
+
+
 def _placed(keys: str, select: str, order: str) -> str:
     return f"SELECT {keys}, CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS INT) AS place FROM ({select})"
 
@@ -599,20 +608,6 @@ QUALIFY transaction_id IS NULL OR ROW_NUMBER() OVER (
     "fn_profit_four_digits": _with(_txns(cost_factor="0.5531"), f"""SELECT transaction_id, item_id,
        {_doubles("net_amount", "profit_amount")}
 FROM txns"""),
-    "medallion_append": f"""WITH {_CALENDAR}, parts AS (
-  SELECT 'bronze 2001-08-02' AS part, COUNT(DISTINCT l_orderkey) FILTER (l_orderkey % 20 = 0) AS row_count
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  UNION ALL SELECT 'bronze 2001-08-03', COUNT(DISTINCT l_orderkey) FILTER (l_orderkey % 20 = 10)
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-silver AS (
-  SELECT 'silver_customer_dim' AS part, COUNT(*) AS row_count FROM customer
-  UNION ALL SELECT 'silver_item_dim', COUNT(*) FROM part
-  UNION ALL SELECT 'silver_store_dim', COUNT(*) FROM supplier
-  UNION ALL SELECT 'silver_time_dim', COUNT(*) FROM calendar
-  UNION ALL SELECT 'silver_transactions', CAST(SUM(row_count) AS BIGINT) FROM parts)
-SELECT * FROM parts UNION ALL SELECT * FROM silver
-UNION ALL SELECT 'TOTAL', CAST(SUM(row_count) AS BIGINT) FROM silver
-UNION ALL SELECT 'new managers', COUNT(*) FROM supplier WHERE s_suppkey % 2 = 0""",
     "medallion_append_all": f"""WITH {_CALENDAR}, parts AS (
   SELECT 'bronze 2001-08-02' AS part, COUNT(*) FILTER (l_orderkey % 2 = 0) AS row_count
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -628,5 +623,13 @@ silver AS (
 SELECT * FROM parts UNION ALL SELECT * FROM silver
 UNION ALL SELECT 'TOTAL', CAST(SUM(row_count) AS BIGINT) FROM silver
 UNION ALL SELECT 'new managers', COUNT(*) FROM supplier WHERE s_suppkey % 2 = 0""",
+    "medallion_refresh": _with(_REFRESHED, _SUMMARY),
+    "medallion_refresh_daily": _with(_REFRESHED, _DAILY),
+    "medallion_refresh_tables": f"""WITH {_REFRESHED}
+SELECT table_name, row_count, (SELECT {_REV} FROM fact) AS revenue FROM (
+  SELECT 'gold_fact_sales' AS table_name, (SELECT COUNT(*) FROM fact) AS row_count
+  UNION ALL SELECT 'gold_sales_daily', (SELECT COUNT(*) FROM ({_DAILY}))
+  UNION ALL SELECT 'gold_sales_by_category', (SELECT COUNT(*) FROM ({_CATEGORY}))
+  UNION ALL SELECT 'gold_customer_summary', (SELECT COUNT(*) FROM ({_SUMMARY})))""",
     "medallion_columns": ORACLE["gold_customer_summary"],
 }

@@ -524,7 +524,7 @@ def q8_region(star: Star) -> DataFrame:
 def _catalog(star: Star) -> Lake:
     """The fact joined with all dimensions, written once per session and folder, under its views."""
     known = (star.spark.sparkContext.applicationId, star.folder)
-    if known not in _catalogs:
+    if known not in _catalogs or not star.spark.catalog.databaseExists(_catalogs[known].database):
         tables = star.silver(AS_OF)
         fact = gold.gold_fact_sales(
             tables["txns"], tables["customers"], tables["items"], tables["stores"],
@@ -793,7 +793,7 @@ def _append_batches(star: Star, purpose: str, first_lines: DataFrame, second_lin
         for table, df in batch.items():
             write_flat_file(df, f"{raw_dir}/{number}/{FILE_NAMES[table]}")
         medallion.run_medallion(
-            lake, f"{raw_dir}/{number}", as_of=AS_OF, gate=False, batch_ts=day, append=True,
+            lake, f"{raw_dir}/{number}", as_of=AS_OF, gate=False, batch_ts=day, append=True, dedup=True,
             catalog_views=False,
         )
     bronze = lake.read("bronze_transactions").groupBy("_batch_date").count()
@@ -806,30 +806,59 @@ def _append_batches(star: Star, purpose: str, first_lines: DataFrame, second_lin
     )
 
 
-@query
-def medallion_append(star: Star) -> DataFrame:
-    """Two daily batches and a second run of the later one: the latest row of each key, once.
-
-    Over one line of a tenth of the orders only; `medallion_append_all` takes all lines.
-    """
-    small = star.transactions.where(F.col("transaction_id") % 10 == 0).dropDuplicates(["transaction_id"])
-    return _append_batches(
-        star, "batches", small.where(F.col("transaction_id") % 20 == 0),
-        small.where(F.col("transaction_id") % 20 != 0),
-    )
-
-
 @query
 def medallion_append_all(star: Star) -> DataFrame:
-    """All lines of all orders in two daily batches, even orders before odd ones, and the later one again."""
+    """All lines of all orders in two daily batches, even orders before odd ones, and the later one again;
+    silver keeps one row of each key."""
     even = F.col("transaction_id") % 2 == 0
     lines = star.transactions
     return _append_batches(star, "all-batches", lines.where(even), lines.where(~even))
 
 
+def _refreshed(star: Star, purpose: str) -> Lake:
+    """Two daily batches of all lines. The second brings the odd orders, some lines of every fifth even order
+    again, and a seventh of the customers with another tier; only what it touches is made again."""
+    lake = _lake(star, purpose)
+    raw_dir = work_dir(star.spark, f"{purpose}-files")
+    lines, customers = star.transactions, star.customers
+    odd = F.col("transaction_id") % 2 != 0
+    again = (F.col("transaction_id") % 10 == 0) & (F.col("quantity") <= 25)
+    promoted = customers.where(F.col("customer_id") % 7 == 0).withColumn("loyalty_tier", F.lit("Gold"))
+    batches = (
+        {**star.raw(), "transactions": lines.where(~odd)},
+        {**star.raw(), "transactions": lines.where(odd | again), "customer_dim": promoted},
+    )
+    for number, batch in enumerate(batches):
+        for table, df in batch.items():
+            write_flat_file(df, f"{raw_dir}/{number}/{FILE_NAMES[table]}")
+        medallion.run_medallion(
+            lake, f"{raw_dir}/{number}", as_of=AS_OF, gate=False, batch_ts=BATCH_TS + datetime.timedelta(days=number),
+            append=True, catalog_views=False, thresholds=SEGMENTS,
+        )
+    return lake
+
+
+@query
+def medallion_refresh(star: Star) -> DataFrame:
+    """The customer table after two daily batches, merged from stored states."""
+    return _refreshed(star, "refresh").read("gold_customer_summary")
+
+
+@query
+def medallion_refresh_daily(star: Star) -> DataFrame:
+    """The daily table after two daily batches, its customers counted by bitmaps."""
+    return _refreshed(star, "refresh-daily").read("gold_sales_daily")
+
+
+@query
+def medallion_refresh_tables(star: Star) -> DataFrame:
+    """Rows and revenue of the gold tables after two daily batches: the same revenue in all four."""
+    return medallion.reconciliation(_refreshed(star, "refresh-tables"))
+
+
 @query
 def medallion_columns(star: Star) -> DataFrame:
-    """Columns of written silver and gold tables, per category and customer."""
+    """The customer table of a whole job, all columns."""
     raw_dir = work_dir(star.spark, "column-files")
     for table, df in star.raw().items():
         write_flat_file(df, f"{raw_dir}/{FILE_NAMES[table]}")

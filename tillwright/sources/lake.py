@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,16 @@ class Lake:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def side_by_side(self, jobs: dict[str, Callable[[], Any]]) -> dict[str, Any]:
+        """Runs jobs that do not depend on each other at the same time, so that the cluster is not
+        left to one small table; returns what each gave. Any failure is raised."""
+        if not jobs:
+            return {}
+        in_session = inheritable_thread_target(self.spark)
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            running = {name: pool.submit(in_session(job)) for name, job in jobs.items()}
+            return {name: job.result() for name, job in running.items()}
+
     def replace_partition(self, df: DataFrame, table: str, column: str, value) -> int:
         """Puts the rows of `df`, all with `value` in `column`, in place of that partition.
 

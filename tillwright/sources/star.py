@@ -99,7 +99,7 @@ def _day_offset(first: str, number: Column, days: int) -> Column:
     return F.date_add(F.lit(first).cast("date"), (number % days).cast("int"))
 
 
-_repeated: dict[tuple[str, str], tuple[str, ...]] = {}
+_repeated: dict[tuple[str, ...], tuple[str, ...]] = {}
 
 
 class Star:
@@ -208,8 +208,9 @@ class Star:
 
     @cached_property
     def repeated_keys(self) -> tuple[str, ...]:
-        """Keys that some dimension holds more than once; looked for once per session and folder."""
-        known = (self.spark.sparkContext.applicationId, self.folder)
+        """Keys that some dimension holds more than once; looked for once per session and set of files."""
+        files = [f for t in ("customer", "nation", "region", "part", "supplier") for f in sorted(self.table(t).inputFiles())]
+        known = (self.spark.sparkContext.applicationId, self.folder, *files)
         if known not in _repeated:
             tables = {
                 "customer_id": self.customers, "item_id": self.items, "store_id": self.stores,
