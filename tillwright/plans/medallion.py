@@ -20,7 +20,7 @@ from tillwright.operators.audit import row_counts
 from tillwright.operators.dedup import latest_per_key
 from tillwright.plans import gold, quality, refresh, silver, views
 from tillwright.schemas import FILE_NAMES, SOURCES
-from tillwright.sources.flat_files import read_flat_file, stamp
+from tillwright.sources.flat_files import read_flat_file, readable, stamp, unreadable
 from tillwright.sources.lake import Lake
 
 GOLD_TABLES = (
@@ -50,18 +50,25 @@ def load_bronze(
     batch_date: datetime.date | None = None,
     append: bool = False,
     keep_corrupt: bool = False,
+    quarantine: bool = False,
 ) -> int:
     """One source file into its bronze table; returns the rows loaded.
 
     By default the table is replaced. With `append` the batch becomes its `_batch_date` partition:
-    other days stay, and a load of the same day again takes the place of the first.
+    other days stay, and a load of the same day again takes the place of the first. With `quarantine` only
+    lines that can be read go to bronze; the others go to `quarantine_<table>`, as text, with the file and
+    the reason, and take the place of what an earlier load of the batch put there.
     """
     file_name = FILE_NAMES[table]
     rows = read_flat_file(
-        lake.spark, f"{raw_dir.rstrip('/')}/{file_name}", SOURCES[table], keep_corrupt
+        lake.spark, f"{raw_dir.rstrip('/')}/{file_name}", SOURCES[table], keep_corrupt or quarantine
     )
     batch_ts = batch_ts or datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
     batch_date = batch_date or batch_ts.date()
+    if quarantine:
+        bad = stamp(unreadable(rows), file_name, batch_ts, batch_date)
+        lake.replace_partition(bad, f"quarantine_{table}", "_batch_date", batch_date)
+        rows = readable(rows)
     stamped = stamp(rows, file_name, batch_ts, batch_date)
     if append:
         return lake.replace_partition(stamped, f"bronze_{table}", "_batch_date", batch_date)
@@ -69,11 +76,11 @@ def load_bronze(
 
 
 def load_all_bronze(
-    lake: Lake, raw_dir: str, batch_ts: datetime.datetime, append: bool = False
+    lake: Lake, raw_dir: str, batch_ts: datetime.datetime, append: bool = False, quarantine: bool = False
 ) -> dict[str, int]:
     """The five source files of one batch."""
     return lake.side_by_side({
-        f"bronze_{table}": partial(load_bronze, lake, raw_dir, table, batch_ts, append=append)
+        f"bronze_{table}": partial(load_bronze, lake, raw_dir, table, batch_ts, append=append, quarantine=quarantine)
         for table in SOURCES
     })
 
@@ -151,6 +158,29 @@ def build_gold(
     return rows | lake.side_by_side(loads)
 
 
+STAGES = ("bronze", "silver", "checks", "gold", "views")
+LEDGER = "job_ledger"
+
+
+def finished_stages(lake: Lake, batch_ts: datetime.datetime) -> set[str]:
+    """Stages that earlier runs of this batch finished, by the ledger."""
+    if not lake.spark.catalog.tableExists(lake.name(LEDGER)):
+        return set()
+    own = lake.read(LEDGER).where(F.col("batch") == batch_ts.isoformat())
+    return {r["stage"] for r in own.select("stage").distinct().collect()}
+
+
+def _line_checks(lake: Lake, batch_ts: datetime.datetime) -> DataFrame:
+    """How many lines of each source of a batch could not be read."""
+    own = F.col("_batch_date") == F.lit(batch_ts.date())
+    return reduce(DataFrame.unionByName, [
+        quality.readable_lines(
+            f"bronze_{table}", lake.read(f"bronze_{table}").where(own), lake.read(f"quarantine_{table}").where(own)
+        )
+        for table in SOURCES
+    ])
+
+
 def run_medallion(
     lake: Lake,
     raw_dir: str,
@@ -163,6 +193,8 @@ def run_medallion(
     partition_by: tuple[str, ...] = (),
     catalog_views: bool = True,
     append: bool = False,
+    quarantine: bool = False,
+    resume: bool = False,
 ) -> RunResult:
     """Runs every stage. A failed check stops the job before gold, unless `gate` is off.
 
@@ -170,30 +202,60 @@ def run_medallion(
     business key silver takes the rows of its newest batch, all of them; with `dedup` the latest one.
     Only partitions that the batch changes are made again (:mod:`tillwright.plans.refresh`); tables are
     partitioned by batch then, and `partition_by` must be left empty.
+
+    With `quarantine` lines that cannot be read are kept apart, and their number is one more check.
+
+    A ledger notes each stage of a batch as it ends. With `resume` and the `batch_ts` of the run that
+    failed, the stages it finished are passed over; a stage that failed, the checks included, runs again.
     """
     if append and partition_by:
         raise ValueError("with append=True the tables are partitioned by batch")
+    if resume and batch_ts is None:
+        raise ValueError("resume needs the batch_ts of the run to go on with")
     lake.create()
     batch_ts = batch_ts or datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
     result = RunResult()
-    result.rows.update(load_all_bronze(lake, raw_dir, batch_ts, append))
-    if append:
-        result.rows.update(refresh.refresh_silver(lake, batch_sources(as_of, dedup=dedup), batch_ts.date()))
-    else:
-        result.rows.update(build_silver(lake, as_of, dedup=dedup))
-    checks = quality.report(silver_tables(lake), rules)
-    lake.write(checks, "quality_report")
-    result.failed_checks = quality.enforce(lake.read("quality_report"), blocking=gate)
-    if append:
-        tables = silver_tables(lake)
-        result.rows.update(refresh.refresh_gold(lake, tables, as_of, thresholds, refresh.gold_days(lake)))
-    else:
-        result.rows.update(build_gold(lake, as_of, thresholds, partition_by))
-    if catalog_views:
-        views.create_catalog_views(lake.spark, lake.database)
+
+    def bronze() -> None:
+        result.rows.update(load_all_bronze(lake, raw_dir, batch_ts, append, quarantine))
+
+    def refined() -> None:
+        if append:
+            result.rows.update(refresh.refresh_silver(lake, batch_sources(as_of, dedup=dedup), batch_ts.date()))
+        else:
+            result.rows.update(build_silver(lake, as_of, dedup=dedup))
+
+    def checks() -> None:
+        found = quality.report(silver_tables(lake), rules)
+        if quarantine:
+            found = found.unionByName(_line_checks(lake, batch_ts))
+        lake.write(found, "quality_report")
+        result.failed_checks = quality.enforce(lake.read("quality_report"), blocking=gate)
+
+    def summed() -> None:
+        if append:
+            days = refresh.gold_days(lake)
+            result.rows.update(refresh.refresh_gold(lake, silver_tables(lake), as_of, thresholds, days))
+        else:
+            result.rows.update(build_gold(lake, as_of, thresholds, partition_by))
+
+    def shown() -> None:
+        if catalog_views:
+            views.create_catalog_views(lake.spark, lake.database)
+
+    done = finished_stages(lake, batch_ts) if resume else set()
+    for stage, run in zip(STAGES, (bronze, refined, checks, summed, shown), strict=True):
+        if stage not in done:
+            run()
+            _note(lake, batch_ts, stage)
     return result
 
 
+def _note(lake: Lake, batch_ts: datetime.datetime, stage: str) -> None:
+    row = [(batch_ts.isoformat(), stage, datetime.datetime.now(datetime.UTC).isoformat())]
+    lake.write(lake.spark.createDataFrame(row, "batch string, stage string, finished_at string").coalesce(1), LEDGER, mode="append")
+
+
 def layer_audit(lake: Lake, layer: str) -> DataFrame:
     """Row counts of one layer ("bronze", "silver" or "gold"), from its written tables."""
     if layer == "gold":

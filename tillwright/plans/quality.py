@@ -136,6 +136,30 @@ def _reference_result(df: DataFrame, parent: DataFrame, rule: ReferenceRule) ->
     )
 
 
+def readable_lines(table: str, good: DataFrame, bad: DataFrame) -> DataFrame:
+    """A row of the report: lines of a source that could not be read, of all its lines."""
+    lines = [
+        df.agg(F.count(F.lit(1)).alias("total")).select(F.lit(broken).alias("broken"), "total")
+        for broken, df in ((False, good), (True, bad))
+    ]
+    return with_status(lines[0].unionByName(lines[1]).agg(
+        F.sum(F.when(F.col("broken"), F.col("total"))).alias("failing"), F.sum("total").alias("total")
+    ).select(F.lit("lines readable").alias("check"), F.lit(table).alias("table"), "failing", "total"))
+
+
+def with_status(results: DataFrame) -> DataFrame:
+    """`check, table, failing, total` with the outcome and the share that passes."""
+    passing = F.round((1 - F.col("failing") / F.col("total")) * 100, 1)
+    return results.select(
+        "check",
+        "table",
+        F.when(F.col("failing") == 0, "PASS").otherwise("FAIL").alias("status"),
+        "failing",
+        "total",
+        F.when(F.col("total") > 0, passing).otherwise(100.0).alias("pass_pct"),
+    )
+
+
 def report(tables: dict[str, DataFrame], rules: Iterable[Rule] = STANDARD_RULES) -> DataFrame:
     """`(check, table, status, failing, total, pass_pct)`, one row per rule."""
     rules = list(rules)
@@ -149,15 +173,7 @@ def report(tables: dict[str, DataFrame], rules: Iterable[Rule] = STANDARD_RULES)
             parts.append(_unique_result(tables[rule.table], rule))
         elif isinstance(rule, ReferenceRule):
             parts.append(_reference_result(tables[rule.table], tables[rule.parent], rule))
-    passing = F.round((1 - F.col("failing") / F.col("total")) * 100, 1)
-    return reduce(DataFrame.unionByName, parts).select(
-        "check",
-        "table",
-        F.when(F.col("failing") == 0, "PASS").otherwise("FAIL").alias("status"),
-        "failing",
-        "total",
-        F.when(F.col("total") > 0, passing).otherwise(100.0).alias("pass_pct"),
-    )
+    return with_status(reduce(DataFrame.unionByName, parts))
 
 
 def summary(results: DataFrame) -> DataFrame:

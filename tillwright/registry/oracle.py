@@ -632,4 +632,17 @@ SELECT table_name, row_count, (SELECT {_REV} FROM fact) AS revenue FROM (
   UNION ALL SELECT 'gold_sales_by_category', (SELECT COUNT(*) FROM ({_CATEGORY}))
   UNION ALL SELECT 'gold_customer_summary', (SELECT COUNT(*) FROM ({_SUMMARY})))""",
     "medallion_columns": ORACLE["gold_customer_summary"],
+    "alert_repeated_events": ORACLE["alert_daily_revenue_stream"],
+    "quarantine_lines": f"""WITH {_RAW_CUSTOMERS}, marked AS (
+  SELECT customer_id, customer_id % 50 = 0 AS bad_age, customer_id % 75 = 0 AS bad_day FROM raw_customers),
+parts AS (
+  SELECT CASE WHEN bad_age AND bad_day THEN 'does not parse: age, join_date' WHEN bad_age THEN 'does not parse: age'
+              WHEN bad_day THEN 'does not parse: join_date' ELSE 'readable' END AS part, customer_id FROM marked)
+SELECT part, COUNT(*) AS lines, CAST(SUM(customer_id) AS BIGINT) AS ids FROM parts GROUP BY part
+UNION ALL SELECT CASE WHEN COUNT(*) FILTER (bad_age OR bad_day) > 0 THEN 'lines readable FAIL' ELSE 'lines readable PASS' END,
+       COUNT(*), COUNT(*) FILTER (bad_age OR bad_day) FROM marked""",
+    "sink_publish": f"""WITH {_RAW_CUSTOMERS} SELECT * REPLACE (upper(city) AS city) FROM raw_customers""",
+    "agg_distinct_bitmaps": _with(_TXNS, """SELECT date_id // 100 AS month, COUNT(DISTINCT customer_id) AS customers,
+       COUNT(DISTINCT item_id) AS items
+FROM txns GROUP BY 1"""),
 }

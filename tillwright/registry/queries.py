@@ -13,6 +13,7 @@ from pyspark.sql.types import DecimalType
 from tillwright.functions import bands, dates, money, text
 from tillwright.functions.casting import parse_date, parse_flag, typed_columns
 from tillwright.functions.measures import flagged, mean, total
+from tillwright.operators import bitmaps
 from tillwright.operators.audit import preview, row_counts
 from tillwright.operators.dedup import distinct_values, latest_per_key
 from tillwright.operators.joins import fits_broadcast, hot_keys, orphans
@@ -886,3 +887,61 @@ def alert_daily_revenue_stream(star: Star) -> DataFrame:
     out, checkpoint = work_dir(spark, "alerts"), work_dir(spark, "alerts-checkpoint")
     revenue_alert.start_alert(events, STREAM_TARGET, out, checkpoint).awaitTermination()
     return spark.read.parquet(out)
+
+
+@query
+def alert_repeated_events(star: Star) -> DataFrame:
+    """The alert over purchase events that were delivered twice: the same days as over single files."""
+    spark, schema = star.spark, star.table("events").schema
+    folder = work_dir(spark, "events-twice")
+    for _ in range(2):
+        star.table("events").write.mode("append").parquet(folder)
+    session = revenue_alert.stream_session(spark, partitions=8)
+    events = revenue_alert.event_stream(session, folder, schema)
+    out, checkpoint = work_dir(spark, "alerts-once"), work_dir(spark, "alerts-once-checkpoint")
+    revenue_alert.start_alert(events, STREAM_TARGET, out, checkpoint, once_by="event_id").awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query
+def quarantine_lines(star: Star) -> DataFrame:
+    """Customers with planted bad fields: good lines in bronze, bad ones apart by reason, all counted."""
+    lake, raw_dir = _lake(star, "quarantine"), work_dir(star.spark, "bad-lines")
+    key = F.col("customer_id")
+    bad = star.customers.withColumns({
+        "age": F.when(key % 50 == 0, "old").otherwise(F.col("age").cast("string")),
+        "join_date": F.when(key % 75 == 0, "someday").otherwise(F.col("join_date").cast("string")),
+    })
+    write_flat_file(bad, f"{raw_dir}/{FILE_NAMES['customer_dim']}")
+    medallion.load_bronze(lake, raw_dir, "customer_dim", BATCH_TS, quarantine=True)
+    good, kept = lake.read("bronze_customer_dim"), lake.read("quarantine_customer_dim")
+    number = F.split_part("line", F.lit(","), F.lit(1)).cast("long")
+    return good.agg(F.lit("readable").alias("part"), F.count(F.lit(1)).alias("lines"), F.sum(key).alias("ids")).unionByName(
+        kept.groupBy(F.col("reason").alias("part")).agg(F.count(F.lit(1)).alias("lines"), F.sum(number).alias("ids"))
+    ).unionByName(
+        quality.readable_lines("customers", good, kept).select(
+            F.concat_ws(" ", "check", "status").alias("part"), F.col("total").alias("lines"), F.col("failing").alias("ids")
+        )
+    )
+
+
+@query
+def sink_publish(star: Star) -> DataFrame:
+    """A published table after a second version with the same columns took its place."""
+    lake = _lake(star, "published")
+    lake.publish(star.customers, "customers")
+    lake.publish(star.customers.withColumn("city", F.upper("city")), "customers")
+    return lake.read("customers")
+
+
+@query
+def agg_distinct_bitmaps(star: Star) -> DataFrame:
+    """Different customers and items per month, by bitmaps: one narrow aggregate each, no row multiplied."""
+    lines = star.transactions.select(F.expr("date_id div 100").cast("int").alias("month"), "customer_id", "item_id")
+    path = work_dir(star.spark, "month-lines")
+    lines.write.parquet(path)
+    stored = star.spark.read.schema(lines.schema).parquet(path)
+    customers, items = (
+        bitmaps.distinct_count(bitmaps.key_sets(stored, key, "month"), "month") for key in ("customer_id", "item_id")
+    )
+    return customers.withColumnRenamed("n", "customers").join(items.withColumnRenamed("n", "items"), "month")

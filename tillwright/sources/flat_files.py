@@ -28,6 +28,28 @@ def read_flat_file(
     return reader.schema(schema).csv(path)
 
 
+def readable(rows: DataFrame) -> DataFrame:
+    """The rows of a file read with `keep_corrupt` whose line was understood."""
+    return rows.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+
+
+def unreadable(rows: DataFrame) -> DataFrame:
+    """`line, reason` of the lines that were not: the fields that do not parse, or else their number.
+
+    The line is cut into fields again, as text; a field that has text but no value is one that did not parse.
+    """
+    names = [c for c in rows.columns if c != CORRUPT_COLUMN]
+    texts = F.from_csv(CORRUPT_COLUMN, F.lit(", ".join(f"`{c}` string" for c in names)))
+    bad = rows.where(F.col(CORRUPT_COLUMN).isNotNull()).withColumn("_text", texts)
+    unparsed = F.array_compact(F.array(*[
+        F.when(F.col(f"_text.{c}").isNotNull() & F.col(c).isNull(), F.lit(c)) for c in names
+    ]))
+    reason = F.when(F.size(unparsed) > 0, F.concat(F.lit("does not parse: "), F.array_join(unparsed, ", ")))
+    return bad.select(
+        F.col(CORRUPT_COLUMN).alias("line"), F.coalesce(reason, F.lit("wrong number of fields")).alias("reason")
+    )
+
+
 def write_flat_file(df: DataFrame, path: str) -> None:
     """CSV with a header line per part file."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -12,6 +14,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def _shape(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema]
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where a pipeline keeps its tables.
@@ -61,6 +67,42 @@ class Lake:
         )
         return counted.get["rows"]
 
+    def publish(self, df: DataFrame, table: str, grace: float = 24 * 3600) -> int:
+        """Replaces a table without a moment in which a reader finds less or a mix; returns its rows.
+
+        Every version is a folder of its own, and the catalog's entry is turned to it once it is complete.
+        Readers that were at it go on with the version they opened: it stays for `grace` seconds after another
+        took its place, and a later publish removes it. So `grace` is to be longer than any reader runs. A
+        version with other columns takes a new entry in place of the old one, which is the one case with a
+        gap. Needs `root`; the table is not partitioned.
+        """
+        if not self.root:
+            raise ValueError("publish needs a lake with a root")
+        top, version = f"{self.root.rstrip('/')}/{table}-versions", f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        counted = Observation()
+        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(self.fmt).save(f"{top}/{version}")
+        rows = counted.get["rows"]
+        name, place = self.name(table), f"{top}/{version}"
+        exists = self.spark.catalog.tableExists(name)
+        if exists and _shape(self.spark.table(name)) == _shape(df):
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+            self.spark.catalog.refreshTable(name)
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.catalog.createTable(name, path=place, source=self.fmt, schema=df.schema)
+        self._drop_versions(top, grace)
+        return rows
+
+    def _drop_versions(self, top: str, grace: float) -> None:
+        """Removes versions that another replaced more than `grace` seconds ago; their names begin with their time."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(top)
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        versions = sorted((status.getPath() for status in files.listStatus(folder)), key=lambda p: p.getName())
+        for old, following in zip(versions, versions[1:]):
+            if int(following.getName().split("-")[0]) <= time.time_ns() - grace * 1e9:
+                files.delete(old, True)
+
     def write(
         self,
         df: DataFrame,
