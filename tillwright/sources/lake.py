@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Jobs side by side; each holds its plans in the driver's memory.
+AT_ONCE = 3
+
+
 def _shape(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema]
 
@@ -42,25 +46,27 @@ class Lake:
         return self.spark.table(self.name(table))
 
     def side_by_side(self, jobs: dict[str, Callable[[], Any]]) -> dict[str, Any]:
-        """Runs jobs that do not depend on each other at the same time, so that the cluster is not
-        left to one small table; returns what each gave. Any failure is raised."""
+        """Runs jobs that do not depend on each other at the same time, `AT_ONCE` of them, so that the cluster
+        is not left to one small table; returns what each gave. Any failure is raised."""
         if not jobs:
             return {}
         in_session = inheritable_thread_target(self.spark)
-        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        with ThreadPoolExecutor(max_workers=min(AT_ONCE, len(jobs))) as pool:
             running = {name: pool.submit(in_session(job)) for name, job in jobs.items()}
             return {name: job.result() for name, job in running.items()}
 
-    def replace_partition(self, df: DataFrame, table: str, column: str, value) -> int:
+    def replace_partition(self, df: DataFrame, table: str, column: str, value, spread: bool = True) -> int:
         """Puts the rows of `df`, all with `value` in `column`, in place of that partition.
 
-        Other partitions stay, so a repeated load of one batch leaves the table as the first did.
+        Other partitions stay, so a repeated load of one batch leaves the table as the first did. Without
+        `spread` rows are written as they lie, which suits the few rows of an aggregate.
         """
         if not self.spark.catalog.tableExists(self.name(table)):
             return self.write(df, table, partition_by=[column])
         counted = Observation()
         columns = [c for c in self.read(table).columns if c != column]
-        rows = df.select(*columns).hint("rebalance").observe(counted, F.count(F.lit(1)).alias("rows"))
+        ready = df.select(*columns).hint("rebalance") if spread else df.select(*columns)
+        rows = ready.observe(counted, F.count(F.lit(1)).alias("rows"))
         self.spark.sql(
             f"INSERT OVERWRITE {self.name(table)} PARTITION ({column} = '{value}') SELECT * FROM {{rows}}",
             rows=rows,
