@@ -1,5 +1,8 @@
 """Every registered query against its SQL."""
 
+import sys
+import warnings
+
 import compare
 import pytest
 
@@ -39,3 +42,13 @@ def test_append_takes_every_line(spark, connection):
     ).fetchone()
     assert parts["bronze 2001-08-02"] + parts["bronze 2001-08-03"] == lines
     assert parts["silver_transactions"] == orders < lines
+
+
+def test_base_queries_work_without_a_library_of_the_training_data(monkeypatch):
+    for name in [n for n in sys.modules if n.startswith(("tillwright.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)  # an import of it now fails
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        assert set(registry.queries()) == set(QUERIES)
+        assert set(registry.oracle_sql()) == set(ORACLE)
