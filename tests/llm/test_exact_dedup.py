@@ -55,3 +55,10 @@ def test_trie_with_and_without_spill(tmp_path, budget):
     }
     assert bool(trie.spilled) == (budget < 1 << 20)
     assert not list(tmp_path.iterdir())
+
+
+def test_one_text_without_an_id_holds_a_third_of_the_rows(texts):
+    rows = [(None, None)] * 150 + [(i, f"own {i}") for i in range(200)] + [(3, "again")] * 60 + [(5000 + i, "same") for i in range(90)]
+    df = texts(*rows).repartition(7)
+    assert sorted(map(tuple, exact_dedup(df).collect()), key=str) == brute(rows)
+    assert drop_copies(df).count() == sum(kept for *_, kept, _ in brute(rows))

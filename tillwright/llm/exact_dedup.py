@@ -8,8 +8,8 @@ subtree is moved to a local file, later strings for it are appended there, and i
 a trie of its own at the end.
 
 Copies are merged within each Arrow batch before the shuffle, so a text that a third of all rows
-share reaches its trie as one row per batch. The rows themselves never move: they get their owner
-by a join on (length, hash), which adaptive execution may split.
+share reaches its trie as one row per batch. Rows then get their owner by a join on the hash, in which
+the rows of such a text are salted; their texts do not take part.
 """
 
 from __future__ import annotations
@@ -19,10 +19,11 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import whole, written
+from tillwright.operators.joins import HOT_SHARE, salted_join
 
 WHITE = r"[\x20\x09-\x0D]+"
 #: Bytes of strings a task keeps in its trie before it moves subtrees to disk.
@@ -264,6 +265,12 @@ def text_owners(
     return written(owners, "text-owners")
 
 
+def _hot(owners: DataFrame, rows: str, total: int) -> dict[str, float]:
+    """Texts that hold a large share of the rows: 1 / HOT_SHARE at most."""
+    held = owners.where(F.col(rows) >= max(2, HOT_SHARE * total)).select("_sha", rows).collect()
+    return {r["_sha"]: r[rows] / total for r in held}
+
+
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trie_bytes: int = TRIE_BYTES
 ) -> DataFrame:
@@ -273,18 +280,24 @@ def exact_dedup(
     return) became one space; null counts as empty, so null and empty texts are one group. The row
     with the smallest id stays; a null id counts as larger than any other. Rows that repeat both
     id and text tie, and one of them stays. Other columns of `docs` are not read, whatever their
-    names. An empty table gives an empty result.
+    names. An empty table gives an empty result. Rows of a text that a large share of all rows have are
+    spread over many tasks when they get their owner.
     """
     owners = text_owners(docs, id_col, text_col, trie_bytes)
-    joined = _prepared(docs, id_col, text_col).drop("_text").join(owners, ["_n_bytes", "_sha"], "left")
+    rows = _prepared(docs, id_col, text_col).drop("_text")
+    total = owners.agg(F.sum("_rows")).first()[0] or 0
+    hot = _hot(owners, "_rows", total)
+    joined = salted_join(rows, owners.drop("_n_bytes"), "_sha", "left", hot)
     owner = F.col("_id").eqNullSafe(F.col("_least"))
     if owners.where("_carriers > 1").isEmpty():
         marked = joined.withColumn("kept", owner)
-    else:  # rows that repeat the id of their owner are numbered, the others are not
+    else:  # of rows that repeat the id of their owner the first by place stays, the others do not
         tied = owner & (F.col("_carriers") > 1)
-        number = F.row_number().over(Window.partitionBy("_n_bytes", "_sha").orderBy("_id"))
+        placed = written(joined.where(tied).withColumn("_place", F.monotonically_increasing_id()), "tied-rows")
+        first = placed.groupBy("_sha").agg(F.min("_place").alias("_first"))
+        chosen = salted_join(placed, first, "_sha", "left", _hot(owners, "_carriers", total))
         marked = joined.where(~tied).withColumn("kept", owner).unionByName(
-            joined.where(tied).withColumn("kept", number == 1)
+            chosen.withColumn("kept", F.col("_place") == F.col("_first")).drop("_place", "_first")
         )
     return marked.select(
         F.col("_id").alias(id_col), F.col("_least").alias("keep_id"),
