@@ -213,6 +213,7 @@ def run_medallion(
     if resume and batch_ts is None:
         raise ValueError("resume needs the batch_ts of the run to go on with")
     lake.create()
+    _open_ledger(lake)
     batch_ts = batch_ts or datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
     result = RunResult()
 
@@ -252,8 +253,13 @@ def run_medallion(
 
 
 def _note(lake: Lake, batch_ts: datetime.datetime, stage: str) -> None:
-    row = [(batch_ts.isoformat(), stage, datetime.datetime.now(datetime.UTC).isoformat())]
-    lake.write(lake.spark.createDataFrame(row, "batch string, stage string, finished_at string").coalesce(1), LEDGER, mode="append")
+    lake.spark.sql(f"INSERT INTO {lake.name(LEDGER)} VALUES ('{batch_ts.isoformat()}', '{stage}', current_timestamp())")
+
+
+def _open_ledger(lake: Lake) -> None:
+    place = f" LOCATION '{lake.root.rstrip('/')}/{LEDGER}'" if lake.root else ""
+    columns = "batch string, stage string, finished_at timestamp"
+    lake.spark.sql(f"CREATE TABLE IF NOT EXISTS {lake.name(LEDGER)} ({columns}) USING {lake.fmt}{place}")
 
 
 def layer_audit(lake: Lake, layer: str) -> DataFrame:

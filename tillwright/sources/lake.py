@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 
 #: Jobs side by side; each holds its plans in the driver's memory.
-AT_ONCE = 3
+AT_ONCE = 5
 
 
 def _shape(df: DataFrame) -> list[tuple[str, str]]:

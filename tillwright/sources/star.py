@@ -116,6 +116,14 @@ class Star:
             self._tables[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
+    def _stamp(self, name: str) -> str:
+        """Size, number of files and time of a table's folder: another one when it was written anew."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}.parquet")
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        held = files.getContentSummary(path)
+        return f"{held.getLength()}:{held.getFileCount()}:{files.getFileStatus(path).getModificationTime()}"
+
     def silver(self, as_of=None) -> "SilverStar":
         return SilverStar(self, as_of)
 
@@ -208,9 +216,9 @@ class Star:
 
     @cached_property
     def repeated_keys(self) -> tuple[str, ...]:
-        """Keys that some dimension holds more than once; looked for once per session and set of files."""
-        files = [f for t in ("customer", "nation", "region", "part", "supplier") for f in sorted(self.table(t).inputFiles())]
-        known = (self.spark.sparkContext.applicationId, self.folder, *files)
+        """Keys that some dimension holds more than once; looked for once per session and state of the tables."""
+        stamps = [self._stamp(t) for t in ("customer", "nation", "region", "part", "supplier", "orders")]
+        known = (self.spark.sparkContext.applicationId, self.folder, *stamps)
         if known not in _repeated:
             tables = {
                 "customer_id": self.customers, "item_id": self.items, "store_id": self.stores,
