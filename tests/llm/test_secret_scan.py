@@ -1,6 +1,10 @@
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 
+from tillwright.llm import secret_scan as scan
 from tillwright.llm.secret_scan import KINDS, scan_secrets
 
 ASSIGN = re.compile(
@@ -49,3 +53,83 @@ def test_added_spans_are_random_and_base_spans_stay(texts, documents):
 
 def test_empty_table(texts):
     assert scan_secrets(texts((1, "a")).limit(0)).count() == 0
+
+
+DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = {
+    "upper hex": DIGITS + "ABCDEF", "base 32": UPPER + "234567", "base 36": DIGITS + LOWER, "upper 36": DIGITS + UPPER,
+    "base 62": DIGITS + UPPER + LOWER, "base 64": UPPER + LOWER + DIGITS + "+/",
+}
+READ_AS = [
+    ("[0-9a-f]+", DIGITS + "abcdef"), ("[0-9A-F]+", DIGITS + "ABCDEF"), ("[A-Z2-7]+", UPPER + "234567"),
+    ("[a-z0-9]+", DIGITS + LOWER), ("[A-Z0-9]+", DIGITS + UPPER), ("[A-Za-z0-9]+", DIGITS + UPPER + LOWER),
+]
+
+
+def tail(z):
+    x = abs(z)
+    above = math.sqrt(2 / math.pi) * math.exp(-x * x / 2) / (x + math.sqrt(x * x + 8 / math.pi))
+    return above if z >= 0 else 1 - above
+
+
+def judged(match):
+    """Whether the battery passes a run, and the bin of its weighted p-value; one test after the other."""
+    text = match.replace("-", "+").replace("_", "/")
+    alphabet = next((a for p, a in READ_AS if re.fullmatch(p, text)), ALPHABETS["base 64"])
+    values, k, n = [alphabet.find(c) for c in text], len(alphabet), len(text)
+    counts = Counter(values)
+    chi = sum((c - n / k) ** 2 for c in counts.values()) * k / n + (k - len(counts)) * n / k
+    z_chi = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n))
+    halves = [v * 2 >= k for v in values]
+    runs, high = 1 + sum(a != b for a, b in zip(halves, halves[1:])), sum(halves)
+    expected = 2 * high * (n - high) / n + 1
+    z_runs = (runs - expected) / math.sqrt((expected - 1) * (expected - 2) / (n - 1)) if expected > 2 else 9.0
+    mean = sum(values) / n
+    spread = sum((v - mean) ** 2 for v in values)
+    z_serial = sum((a - mean) * (b - mean) for a, b in zip(values, values[1:])) / spread * math.sqrt(n) if spread else 9.0
+    random_like = 3 * min(tail(z_chi), 2 * tail(abs(z_runs)), 2 * tail(abs(z_serial))) >= scan.RANDOM_LEVEL
+    classes = [0 if c in DIGITS else 1 if c in UPPER else 2 if c in LOWER else 3 for c in text]
+    same = sum(c * (c - 1) for c in counts.values()) / (n * (n - 1))
+    two, three, change = scan.SAME_TWO, scan.SAME_THREE, scan.CLASS_CHANGE
+    z = (two - same) / math.sqrt(4 * (three - two**2) / n + 2 * two * (1 - two) / (n * (n - 1)))
+    if len(set(classes)) > 1:
+        changes = sum(a != b for a, b in zip(classes, classes[1:]))
+        z = (z + (changes - change * (n - 1)) / math.sqrt(change * (1 - change) * (n - 1))) / math.sqrt(2)
+    weighted = tail(z) / min(1.0, n / scan.FULL_LENGTH)
+    return random_like, min(400, max(0, math.floor(-10 * math.log10(max(weighted, 1e-300)))))
+
+
+def added_by_hand(rows):
+    """(id, start, stop) of added spans: every candidate judged alone, then Benjamini and Hochberg over all."""
+    tested = []
+    for doc_id, text in rows:
+        own = base(text or "")
+        for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}", text or ""):
+            if not any(a < m.end() and m.start() < b for a, _, b in own):
+                tested.append((doc_id, m.start(), m.end(), *judged(m[0])))
+    bins = sorted((t[4] for t in tested), reverse=True)
+    accepted = [b for b in set(bins) if sum(x >= b for x in bins) * scan.FALSE_SHARE >= len(bins) * 10 ** (-b / 10)]
+    cut = min(accepted, default=401)
+    return sorted((i, a, b) for i, a, b, random_like, bin_ in tested if random_like and bin_ >= cut)
+
+
+def test_added_spans_equal_brute_force_and_find_planted_keys(texts, documents):
+    rng = random.Random(11)
+    planted, rows = {}, [*documents, *PLANTED]
+    for name, alphabet in ALPHABETS.items():
+        for length in (20, 32, 48):
+            for _ in range(8):
+                key, doc_id = "".join(rng.choices(alphabet, k=length)), 20_000 + len(rows)
+                planted[doc_id] = name, length, 4, 4 + length
+                rows.append((doc_id, f"key {key} end"))
+    rows += [(30_000 + n, "an " + "".join(rng.choice(["ing", "ver", "ation", "el", "th"]) for _ in range(12)) + " word") for n in range(20)]
+    found = []
+    for r in scan_secrets(texts(*rows)).collect():
+        spans = (s.split(":") for s in r["spans"].split(",") if s)
+        found += [(r["doc_id"], int(a), int(b)) for kind, a, b in spans if kind == "random"]
+    assert sorted(found) == added_by_hand(rows)
+    assert not [f for f in found if f[0] >= 30_000]
+    long = {i: (i, a, b) in set(found) or None for i, (_, length, a, b) in planted.items() if length >= 32}
+    touched = {i for i, text in rows if i in planted and base(text)}  # a pattern has these already
+    counted = [bool(hit) for i, hit in long.items() if i not in touched]
+    assert sum(counted) >= 0.9 * len(counted) and len(counted) > 80
