@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import numpy as np
@@ -99,3 +101,46 @@ def test_passages_are_spread_over_a_long_text():
     assert quality.spread(text, 10, 1000) == text
     parts = quality.spread(text, 10, 45)
     assert len(parts) == 40 and [parts[k] - 65 for k in range(0, 40, 10)] == [0, 5, 10, 15]
+
+
+def features_by_hand(passage):
+    """One passage, byte by byte."""
+    kind = [next((k for k, some in enumerate(quality._KINDS) if b in some), len(quality._KINDS)) for b in passage]
+    n = len(quality._KINDS) + 1
+    out = [0.0] * (n * n)
+    for a, b in zip(kind, kind[1:]):
+        out[a * n + b] += 1
+    out = [math.sqrt(count / len(passage)) for count in out]
+    white = b" \n\r\t\x0b\x0c"
+    for cut in (white, white[1:]):
+        runs = [r for r in re.split(b"[" + re.escape(cut) + b"]+", passage) if r]
+        number = max(len(runs), 1)
+        out += [
+            sum(a == b for a, b in zip(runs, runs[1:])) / number, len(set(runs)) / number,
+            math.log1p(sum(map(len, runs)) / number), math.log1p(number),
+        ]
+    return np.array([*out, len(passage) / quality.PASSAGE])
+
+
+def score_by_hand(model, text):
+    """The formula of the module, passage after passage."""
+    w, data = model.weights, text.encode()
+    if not data:
+        return 1 / (1 + math.exp(-w["d"][0]))
+    encoded, weights = [], []
+    for start in range(0, len(data), quality.PASSAGE):
+        f = (features_by_hand(data[start : start + quality.PASSAGE]) - model.mean) / model.scale
+        h = np.tanh(f @ w["E"] + w["e"])
+        gate = 1 / (1 + np.exp(-(h @ w["U"])))
+        encoded.append(h)
+        weights.append(math.exp(float((np.tanh(h @ w["V"]) * gate) @ w["w"])))
+    z = sum(a * h for a, h in zip(weights, encoded)) / sum(weights)
+    return 1 / (1 + math.exp(-float(z @ w["c"] + w["d"][0])))
+
+
+def test_scores_equal_brute_force(texts, odd, documents, model):
+    rows = [*odd, *documents[:80], (70, "a" * quality.PASSAGE), (71, "a" * (quality.PASSAGE + 1)), (72, " \n\t "), (73, "\x00\x7f~ \x1c")]
+    found = [(r["text"] or "", r["score"]) for r in quality.score(texts(*rows), model).collect()]
+    assert len(found) == len(rows)
+    by_hand = {text: score_by_hand(model, text) for text in {text for text, _ in found}}
+    assert all(abs(score - by_hand[text]) < 1e-4 for text, score in found)
