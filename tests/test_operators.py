@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillwright.operators import bitmaps, joins
 from tillwright.operators.audit import row_counts
 from tillwright.operators.dedup import distinct_values, latest_per_key, newest_rows
+from tillwright.operators.ranking import rank_all
 
 HOT = 7
 
@@ -225,3 +226,22 @@ def test_key_sets_are_exact(frame, monkeypatch):
     holder = "ab"[keys.index(65536) % 2]
     assert [r["g"] for r in bitmaps.meeting(per_group, other, "g").collect()] == [holder]
     assert bitmaps.key_sets(df.limit(0), "k").count() == 0
+
+
+def test_rank_by_ranges(frame, spark):
+    rng = random.Random(3)
+    values = [HOT if i % 3 == 0 else None if i % 10 == 1 else rng.randrange(200) for i in range(900)]
+    order = sorted(values, key=lambda v: (v is None, -(v or 0)))
+    first = {}
+    for place, v in enumerate(order, 1):
+        first.setdefault(v, place)
+    df = frame("i int, v int", *enumerate(values)).repartition(6)
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    for coalesced in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+        ranked = rank_all(df, "v")
+        assert sorted((r["i"], r["rank"]) for r in ranked.collect()) == [(i, first[v]) for i, v in enumerate(values)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Window [" in plan and "SinglePartition" not in plan
+    assert rank_all(df.limit(0), "v").count() == 0

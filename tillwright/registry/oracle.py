@@ -632,6 +632,9 @@ SELECT table_name, row_count, (SELECT {_REV} FROM fact) AS revenue FROM (
   UNION ALL SELECT 'gold_sales_by_category', (SELECT COUNT(*) FROM ({_CATEGORY}))
   UNION ALL SELECT 'gold_customer_summary', (SELECT COUNT(*) FROM ({_SUMMARY})))""",
     "medallion_columns": ORACLE["gold_customer_summary"],
+    "win_rank_items": _with(_TXNS, f"""SELECT item_id, {_REV} AS total_revenue,
+       RANK() OVER (ORDER BY {_REV} DESC) AS revenue_rank
+FROM txns GROUP BY item_id"""),
     "alert_repeated_events": ORACLE["alert_daily_revenue_stream"],
     "quarantine_lines": f"""WITH {_RAW_CUSTOMERS}, marked AS (
   SELECT customer_id, customer_id % 50 = 0 AS bad_age, customer_id % 75 = 0 AS bad_day FROM raw_customers),

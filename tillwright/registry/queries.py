@@ -17,6 +17,7 @@ from tillwright.operators import bitmaps
 from tillwright.operators.audit import preview, row_counts
 from tillwright.operators.dedup import distinct_values, latest_per_key
 from tillwright.operators.joins import fits_broadcast, hot_keys, orphans
+from tillwright.operators.ranking import rank_all
 from tillwright.plans import alerts, gold, medallion, quality, silver, views
 from tillwright.schemas import FILE_NAMES, SOURCES, silver_types
 from tillwright.session import work_dir
@@ -398,6 +399,15 @@ def win_rank_category(star: Star) -> DataFrame:
     )
 
 
+@query
+def win_rank_items(star: Star) -> DataFrame:
+    """All items by their revenue, ranked by ranges instead of in one task."""
+    revenue = star.transactions.groupBy("item_id").agg(total("total_amount").alias("total_revenue"))
+    path = work_dir(star.spark, "item-revenue")
+    revenue.write.parquet(path)
+    return rank_all(star.spark.read.schema(revenue.schema).parquet(path), "total_revenue", "revenue_rank")
+
+
 # ---- silver and gold tables --------------------------------------------------------------
 
 
