@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("left", "inner", "left_semi", "left_anti")
@@ -145,22 +145,34 @@ def salted_join(
         raise ValueError(f"salted_join does not support {how!r}")
     hot = hot or {}
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(2, math.ceil(max(hot.values(), default=0.0) * partitions))
-    key = F.col(on)
-    is_hot = key.isin(list(hot)) if hot else F.lit(False)
-    spread_over = F.lit(max(salts, partitions))
-    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), spread_over)
-    spread = ((row_hash + F.spark_partition_id()) % spread_over).cast("int")
-    # A null key never finds a match, so its rows may go anywhere.
-    left_salt = F.when(key.isNull(), -1 - spread).when(is_hot, spread % salts).otherwise(0)
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salts = salts_for(hot, partitions)
+    is_hot = F.col(on).isin(list(hot)) if hot else F.lit(False)
     return (
-        left.withColumn(SALT, left_salt)
-        .join(lookup.withColumn(SALT, F.explode(copies)), [on, SALT], how)
+        left.withColumn(SALT, line_salt(left.columns, on, is_hot, salts, partitions))
+        .join(lookup.withColumn(SALT, F.explode(lookup_salts(is_hot, salts))), [on, SALT], how)
         .drop(SALT)
     )
 
 
+def salts_for(hot: Mapping, partitions: int) -> int:
+    """Salts of a hot key: as many as the largest share is of the partitions, two at least."""
+    return max(2, math.ceil(max(hot.values(), default=0.0) * partitions))
+
+
+def line_salt(columns: Sequence[str], on: str, is_hot: Column, salts: int, partitions: int) -> Column:
+    """The salt of a row of the large side; 0 unless its key is hot or null."""
+    spread_over = F.lit(max(salts, partitions))
+    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), spread_over)
+    spread = ((row_hash + F.spark_partition_id()) % spread_over).cast("int")
+    # A null key never finds a match, so its rows may go anywhere.
+    return F.when(F.col(on).isNull(), -1 - spread).when(is_hot, spread % salts).otherwise(0)
+
+
+def lookup_salts(is_hot: Column, salts: int) -> Column:
+    """The salts under which a row of the lookup side is found."""
+    return F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+
+
 def orphans(
     df: DataFrame, parent: DataFrame, key: str, hot: Mapping | None = None
 ) -> DataFrame:

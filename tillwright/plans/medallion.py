@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from tillwright.functions.bands import SegmentThresholds
 from tillwright.functions.money import STANDARD_COST_FACTOR
+from tillwright.operators import colocated
 from tillwright.operators.audit import row_counts
 from tillwright.operators.dedup import latest_per_key
+from tillwright.operators.joins import SALT
 from tillwright.plans import gold, quality, refresh, silver, views
 from tillwright.schemas import FILE_NAMES, SOURCES
 from tillwright.sources.flat_files import read_flat_file, readable, stamp, unreadable
@@ -26,6 +28,8 @@ from tillwright.sources.lake import Lake
 GOLD_TABLES = (
     "gold_fact_sales", "gold_sales_daily", "gold_sales_by_category", "gold_customer_summary"
 )
+#: Customers stored in the buckets of a co-located fact.
+CUSTOMERS_BESIDE = "customers_beside_fact"
 # The business key of each silver table.
 BUSINESS_KEYS = {
     "customer_dim": "customer_id",
@@ -140,14 +144,24 @@ def build_gold(
     as_of: datetime.date | str | None = None,
     thresholds: SegmentThresholds = SegmentThresholds(),
     partition_by: tuple[str, ...] = (),
+    colocate: int = 0,
 ) -> dict[str, int]:
-    """The fact is joined and written once; the summaries read the written table."""
+    """The fact is joined and written once; the summaries read the written table.
+
+    With `colocate` the fact is stored in that many buckets by customer, and the customers beside it in
+    the same buckets (`CUSTOMERS_BESIDE`), so that :func:`fact_with_customers` moves no row of either.
+    """
     tables = silver_tables(lake)
     fact = gold.gold_fact_sales(
         tables["txns"], tables["customers"], tables["items"], tables["stores"], tables["calendar"]
     )
     stamped = fact.withColumn("_gold_created_at", F.current_timestamp())
-    rows = {"gold_fact_sales": lake.write(stamped, "gold_fact_sales", partition_by=partition_by)}
+    if colocate:
+        layout = colocated.plan_layout(tables["txns"], "customer_id", colocate)
+        rows = {"gold_fact_sales": colocated.store_lines(lake, stamped, "gold_fact_sales", layout, partition_by)}
+        rows[CUSTOMERS_BESIDE] = colocated.store_lookup(lake, tables["customers"], CUSTOMERS_BESIDE, "gold_fact_sales")
+    else:
+        rows = {"gold_fact_sales": lake.write(stamped, "gold_fact_sales", partition_by=partition_by)}
     written = lake.read("gold_fact_sales")
     summaries = {
         "gold_sales_daily": gold.gold_sales_daily(written),
@@ -158,6 +172,18 @@ def build_gold(
     return rows | lake.side_by_side(loads)
 
 
+def fact_with_customers(lake: Lake, how: str = "left") -> DataFrame:
+    """The stored fact with all silver columns of its customers, joined bucket by bucket without an exchange.
+
+    Attributes that the fact holds already come from the fact, as of its write. Needs a job with `colocate`.
+    """
+    fact, layout = lake.read("gold_fact_sales"), colocated.stored_layout(lake, "gold_fact_sales")
+    customers = lake.read(CUSTOMERS_BESIDE)
+    keys = (layout.key, SALT)
+    more = [c for c in customers.columns if c in keys or c not in fact.columns]
+    return colocated.join_layout(layout, fact, customers.select(*more), how)
+
+
 STAGES = ("bronze", "silver", "checks", "gold", "views")
 LEDGER = "job_ledger"
 
@@ -195,6 +221,7 @@ def run_medallion(
     append: bool = False,
     quarantine: bool = False,
     resume: bool = False,
+    colocate: int = 0,
 ) -> RunResult:
     """Runs every stage. A failed check stops the job before gold, unless `gate` is off.
 
@@ -207,7 +234,11 @@ def run_medallion(
 
     A ledger notes each stage of a batch as it ends. With `resume` and the `batch_ts` of the run that
     failed, the stages it finished are passed over; a stage that failed, the checks included, runs again.
+
+    `colocate` stores the fact in that many buckets by customer (see :func:`build_gold`); not with `append`.
     """
+    if append and colocate:
+        raise ValueError("with append=True the fact is partitioned by batch and not co-located")
     if append and partition_by:
         raise ValueError("with append=True the tables are partitioned by batch")
     if resume and batch_ts is None:
@@ -238,7 +269,7 @@ def run_medallion(
             days = refresh.gold_days(lake)
             result.rows.update(refresh.refresh_gold(lake, silver_tables(lake), as_of, thresholds, days))
         else:
-            result.rows.update(build_gold(lake, as_of, thresholds, partition_by))
+            result.rows.update(build_gold(lake, as_of, thresholds, partition_by, colocate))
 
     def shown() -> None:
         if catalog_views:

@@ -648,4 +648,12 @@ UNION ALL SELECT CASE WHEN COUNT(*) FILTER (bad_age OR bad_day) > 0 THEN 'lines
     "agg_distinct_bitmaps": _with(_TXNS, """SELECT date_id // 100 AS month, COUNT(DISTINCT customer_id) AS customers,
        COUNT(DISTINCT item_id) AS items
 FROM txns GROUP BY 1"""),
+    "join_colocated_customer": _with(_STAR, f"""SELECT t.transaction_id, t.date_id, t.item_id, t.customer_id,
+       c.full_name, c.city, c.state, c.loyalty_tier, c.age_band, c.gender, {_doubles("total_amount")}
+FROM (SELECT * REPLACE (CASE WHEN transaction_id % 3 = 0 THEN 1 WHEN transaction_id % 7 <> 0 THEN customer_id
+                             WHEN transaction_id % 2 = 0 THEN -1 END AS customer_id) FROM txns) t
+LEFT JOIN customers c ON t.customer_id = c.customer_id"""),
+    "medallion_colocated": _with(_STAR, f"""SELECT c.country, CAST(year(c.join_date) AS INT) AS joined,
+       c.loyalty_tier, COUNT(*) AS lines, {_REV} AS revenue
+FROM txns t LEFT JOIN customers c ON t.customer_id = c.customer_id GROUP BY ALL"""),
 }

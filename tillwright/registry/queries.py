@@ -13,7 +13,7 @@ from pyspark.sql.types import DecimalType
 from tillwright.functions import bands, dates, money, text
 from tillwright.functions.casting import parse_date, parse_flag, typed_columns
 from tillwright.functions.measures import flagged, mean, total
-from tillwright.operators import bitmaps
+from tillwright.operators import bitmaps, colocated
 from tillwright.operators.audit import preview, row_counts
 from tillwright.operators.dedup import distinct_values, latest_per_key
 from tillwright.operators.joins import fits_broadcast, hot_keys, orphans
@@ -37,6 +37,7 @@ SEGMENTS = bands.SegmentThresholds(
 )
 DAILY_TARGET = 1_000_000.0
 STREAM_TARGET = 3_000.0
+COLOCATED_BUCKETS = 16
 
 QUERIES: dict[str, Query] = {}
 
@@ -955,3 +956,39 @@ def agg_distinct_bitmaps(star: Star) -> DataFrame:
         bitmaps.distinct_count(bitmaps.key_sets(stored, key, "month"), "month") for key in ("customer_id", "item_id")
     )
     return customers.withColumnRenamed("n", "customers").join(items.withColumnRenamed("n", "items"), "month")
+
+
+@query
+def join_colocated_customer(star: Star) -> DataFrame:
+    """Lines and customers stored in the same buckets and joined without an exchange, in two loads.
+
+    A third of the orders name one customer, some none at all, and some one that is not there.
+    """
+    lake, number = _lake(star, "colocated"), F.col("transaction_id")
+    lines = star.silver(AS_OF)["txns"].select("transaction_id", "date_id", "item_id", "total_amount", F.when(
+        number % 3 == 0, 1).when(number % 7 != 0, F.col("customer_id")).when(number % 2 == 0, -1).alias("customer_id"))
+    lake.write(lines, "lines")
+    stored, even = lake.read("lines"), number % 2 == 0
+    layout = colocated.plan_layout(stored, "customer_id", COLOCATED_BUCKETS)
+    colocated.store_lines(lake, stored.where(even), "lines_beside", layout)
+    colocated.append_lines(lake, stored.where(~even), "lines_beside")
+    customers = star.silver(AS_OF)["customers"].select(*gold.CUSTOMER_KEYS)
+    colocated.store_lookup(lake, customers, "customers_beside", "lines_beside")
+    return colocated.join_stored(lake, "lines_beside", "customers_beside").select(
+        "transaction_id", "date_id", "item_id", *gold.CUSTOMER_KEYS, "total_amount"
+    )
+
+
+@query
+def medallion_colocated(star: Star) -> DataFrame:
+    """Revenue by country and year of joining, columns that the fact does not hold, over a co-located fact."""
+    raw_dir, lake = work_dir(star.spark, "beside-files"), _lake(star, "beside")
+    for table, df in star.raw().items():
+        write_flat_file(df, f"{raw_dir}/{FILE_NAMES[table]}")
+    medallion.run_medallion(
+        lake, raw_dir, as_of=AS_OF, gate=False, batch_ts=BATCH_TS, thresholds=SEGMENTS,
+        catalog_views=False, colocate=COLOCATED_BUCKETS,
+    )
+    return medallion.fact_with_customers(lake).groupBy(
+        "country", F.year("join_date").alias("joined"), "loyalty_tier"
+    ).agg(F.count(F.lit(1)).alias("lines"), total("total_amount").alias("revenue"))

@@ -115,15 +115,22 @@ class Lake:
         table: str,
         mode: str = "overwrite",
         partition_by: Sequence[str] = (),
+        buckets: int = 0,
+        bucket_by: Sequence[str] = (),
     ) -> int:
         """Writes the table and returns how many rows went in, counted during the write.
 
         With `partition_by`, rows are first rebalanced on those columns: adaptive execution then
         splits a partition value that holds most rows and merges small ones, so the number of
-        files follows the data and not tasks times values.
+        files follows the data and not tasks times values. With `buckets` and `bucket_by`, rows are dealt
+        into that many buckets first, so each bucket is one file of its partition.
         """
         counted = Observation()
-        rows = df.hint("rebalance", *partition_by) if partition_by else df
+        rows = df
+        if buckets:
+            rows = df.repartition(buckets, *bucket_by)
+        elif partition_by:
+            rows = df.hint("rebalance", *partition_by)
         writer = (
             rows.observe(counted, F.count(F.lit(1)).alias("rows"))
             .write.format(self.fmt)
@@ -131,6 +138,8 @@ class Lake:
         )
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        if buckets:
+            writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
         if self.root:
             writer = writer.option("path", f"{self.root.rstrip('/')}/{table}")
         if mode == "overwrite" and self.fmt == "delta":
