@@ -27,7 +27,9 @@ from tillwright.operators.joins import HOT_SHARE, salted_join
 
 WHITE = r"[\x20\x09-\x0D]+"
 #: Bytes of strings a task keeps in its trie before it moves subtrees to disk.
-TRIE_BYTES = 192 * 2**20
+TRIE_BYTES = 96 * 2**20
+#: What a node holds besides its label: itself, its children, its owner with key and hash.
+NODE_BYTES = 700
 
 _ROWS = "_n_bytes long, _sha string, _least long, _carriers long, _rows long"
 
@@ -113,7 +115,7 @@ class PatriciaTrie:
             if child is None:
                 leaf = _Node(rest)
                 leaf.owner = owner
-                leaf.weight = len(rest) + 200
+                leaf.weight = len(rest) + NODE_BYTES
                 node.children[rest[0]] = leaf
                 self._grow(path, leaf.weight)
                 return
@@ -196,23 +198,23 @@ def _strings(top: _Node) -> Iterator[tuple[bytes, Owner]]:
 
 
 def _merge_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of equal texts of a batch as one; texts are compared where they lie and never made strings."""
     for batch in batches:
-        found: dict[tuple, Owner] = {}
-        columns = [batch.column(i).to_pylist() for i in range(4)]
-        for identity, length, sha, text in zip(*columns, strict=True):
-            key = (length, sha, text)
-            if key in found:
-                found[key].merge(identity, 1, 1)
+        found: dict[tuple, list[tuple[int, Owner]]] = {}
+        texts = batch.column(3).cast(pa.binary())
+        heads = [batch.column(i).to_pylist() for i in range(3)]
+        for place, (identity, length, sha) in enumerate(zip(*heads, strict=True)):
+            alike = found.setdefault((length, sha), [])
+            for first, owner in alike:
+                if texts[first].as_buffer().equals(texts[place].as_buffer()):
+                    owner.merge(identity, 1, 1)
+                    break
             else:
-                found[key] = Owner((length, sha), identity, 1, 1)
-        yield pa.RecordBatch.from_arrays([
-            pa.array([k[0] for k in found], pa.int64()),
-            pa.array([k[1] for k in found], pa.string()),
-            pa.array([o.least for o in found.values()], pa.int64()),
-            pa.array([o.carriers for o in found.values()], pa.int64()),
-            pa.array([o.rows for o in found.values()], pa.int64()),
-            pa.array([k[2] for k in found], pa.string()),
-        ], names=["_n_bytes", "_sha", "_least", "_carriers", "_rows", "_text"])
+                alike.append((place, Owner((length, sha), identity, 1, 1)))
+        firsts = [one for alike in found.values() for one in alike]
+        heads = _owner_batch([owner for _, owner in firsts])
+        kept = batch.column(3).take(pa.array([place for place, _ in firsts], pa.int64()))
+        yield pa.RecordBatch.from_arrays([*heads.columns, kept], names=[*heads.schema.names, "_text"])
 
 
 def _owners(budget: int):
