@@ -30,7 +30,7 @@ from tillwright.llm.chunks import CHUNK, OTHER_SPACE, PART, WORD, marks_apart, p
 from tillwright.llm.common import arrived, shipped, whole
 
 #: Strings in each of the two generations that a task remembers.
-MEMO = 300_000
+MEMO = 600_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
