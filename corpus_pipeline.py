@@ -54,9 +54,13 @@ def draw_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of what is left: one row for each row, an empty text has no token."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
+    return bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, memo=REMEMBERED)
 
 
+#: Strings that an encoding task remembers in each generation. Half of the operator's own number: workers of the
+#: stages before still hold memory here, while there is time to encode more strings anew.
+REMEMBERED = 300_000
+
 STAGES = [
     ("quality classifier", keep_good),
     ("exact dedup", keep_one_copy),
