@@ -245,3 +245,11 @@ def test_rank_by_ranges(frame, spark):
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "Window [" in plan and "SinglePartition" not in plan
     assert rank_all(df.limit(0), "v").count() == 0
+
+
+def test_bitmaps_are_made_where_a_bucket_meets(spark):
+    keys = spark.range(0, 300_000, 7, 20).withColumn("g", F.col("id") % 3)
+    sets = bitmaps.key_sets(keys, "id", "g")
+    assert bitmaps.distinct_count(sets, "g").agg(F.sum("n")).first()[0] == keys.count()
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" not in plan[plan.index("Exchange hashpartitioning"):]  # none per map task

@@ -210,3 +210,18 @@ def test_states_of_parts_merge_to_the_whole(spark, batches):
 def test_append_and_partition_by_do_not_mix(spark):
     with pytest.raises(ValueError, match="partitioned by batch"):
         medallion.run_medallion(Lake(spark, "mixed"), "/nowhere", append=True, partition_by=("year",))
+
+
+def test_states_keep_few_rows_and_older_ones_are_made_anew(spark, batches):
+    lake = new_lake(spark, "state_form")
+    deliver(spark, lake, batches[0], 0)
+    fact = lake.read("gold_fact_sales")
+    per_customer = states.state(fact, "customer")
+    assert per_customer.count() == fact.select(*gold.CUSTOMER_KEYS).distinct().count()
+    daily = states.state(fact, "daily")
+    assert daily.where("bucket is null").count() == fact.select(*gold.DAILY_KEYS).distinct().count()
+    assert daily.where("bucket is not null and lines is not null").count() == 0
+    assert refresh.gold_days(lake) == []
+    lake.write(lake.read("state_customer").withColumn("category", F.lit("x")).drop("categories"), "older")
+    lake.write(lake.read("older"), "state_customer", partition_by=[refresh.BATCH])
+    assert refresh.gold_days(lake) is None

@@ -171,3 +171,22 @@ def test_distinct_counts_by_bitmaps_multiply_no_row(spark):
     assert "Expand" not in plan
     by_query = QUERIES["agg_count_distinct"](spark, FOLDER)
     assert by_query.count() > 0
+
+
+def test_a_partition_is_written_as_its_rows_lie(spark):
+    lake = Lake(spark, "as_it_lies", work_dir(spark, "as-it-lies"))
+    lake.create()
+    rows = spark.range(0, 400, 1, 4).withColumn("day", F.lit("2024-05-01").cast("date"))
+    for _ in range(2):
+        assert lake.replace_partition(rows, "numbers", "day", "2024-05-01") == 400
+        assert lake.read("numbers").select(F.input_file_name()).distinct().count() == 4  # one a task, without an exchange
+    assert lake.read("numbers").agg(F.sum("id")).first()[0] == sum(range(400))
+
+
+@pytest.mark.parametrize("codec, ending", [("snappy", ".csv.snappy"), ("gzip", ".csv.gz")])
+def test_flat_files_are_compressed(spark, tmp_path, codec, ending):
+    rows = spark.range(50).select(F.col("id").cast("string").alias("store_id"), F.lit("a, b").alias("store_name"))
+    write_flat_file(rows, str(tmp_path / "s"), codec)
+    assert all(p.name.endswith(ending) for p in (tmp_path / "s").glob("part-*"))
+    back = read_flat_file(spark, str(tmp_path / "s"), rows.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
