@@ -369,3 +369,25 @@ def test_customer_summary_shuffles_a_row_per_customer(fact):
     plain = {r["customer_id"]: r["n"] for r in fact.groupBy("customer_id").agg(F.count_distinct("category").alias("n")).collect()}
     assert {r["customer_id"]: r["categories_bought"] for r in made.collect()} == plain
     assert "distinct" not in made._jdf.queryExecution().analyzed().toString().lower()
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_a_large_fact_is_joined_in_parts(spark, tables, table, monkeypatch, threshold):
+    """All parts at once would hold every line on disk once for each shuffled join."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    monkeypatch.setattr(gold, "PART_BYTES", 1)
+    try:
+        customers, items = tables["customers"], tables["items"]
+        twice = customers.unionByName(customers.where("customer_id = 1"))
+        dimensions = {"customer_id": table(twice), "item_id": table(items)}
+        lines = table(tables["txns"].unionByName(tables["txns"]))
+        whole = gold.star_join(lines, dimensions)
+        parts = gold.star_join_parts(lines, dimensions)
+        assert len(parts) == (12 if threshold == "-1" else 1)
+        rows = [[str(r) for r in part.collect()] for part in parts]
+        assert sorted(sum(rows, [])) == sorted(str(r) for r in whole.collect())
+        keys = [{r["customer_id"] for r in part.select("customer_id").collect()} for part in parts]
+        assert sum(map(len, keys)) == len(set().union(*keys))  # all lines of a customer in one part
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
