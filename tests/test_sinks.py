@@ -2,15 +2,18 @@
 
 import datetime
 import pathlib
+import shutil
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from tillwright.plans import medallion, quality
+from tillwright.operators.joins import fits_broadcast
+from tillwright.plans import medallion, quality, refresh
 from tillwright.registry.queries import QUERIES
 from tillwright.schemas import FILE_NAMES, STORE
-from tillwright.session import work_dir
+from tillwright.session import TIDY, tidy, work_dir
 from tillwright.sources.flat_files import read_flat_file, readable, unreadable, write_flat_file
 from tillwright.sources.lake import Lake
 from tillwright.sources.star import Star
@@ -190,3 +193,53 @@ def test_flat_files_are_compressed(spark, tmp_path, codec, ending):
     assert all(p.name.endswith(ending) for p in (tmp_path / "s").glob("part-*"))
     back = read_flat_file(spark, str(tmp_path / "s"), rows.schema)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {str(blocks.apply(i)) for i in range(blocks.size()) if str(blocks.apply(i)).startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    """They stayed until the driver's garbage was collected, so a job held those of all its steps."""
+    lake, before = new_lake(spark, "tidied"), spark.conf.get(TIDY, None)
+    old = shuffle_files(spark)
+    with tidy(spark):
+        lake.write(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sums")
+        with tidy(spark):
+            pass
+        assert spark.conf.get(TIDY) == "true"
+    assert spark.conf.get(TIDY, None) == before
+    until = time.monotonic() + 30
+    while shuffle_files(spark) - old and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - old
+    assert lake.read("sums").agg(F.sum("count")).first()[0] == 1000
+
+
+@pytest.mark.parametrize("clear", [True, False])
+def test_loaded_files_are_cleared_if_asked(spark, raw_dir, tmp_path, clear):
+    raw = tmp_path / "raw"
+    shutil.copytree(raw_dir, raw)
+    lake = new_lake(spark, f"cleared_{clear}")
+    medallion.run_medallion(lake, str(raw), as_of="2024-06-01", rules=GOOD_RULES, batch_ts=BATCH, clear_raw=clear)
+    assert [p.name for p in raw.iterdir() if p.name in FILE_NAMES.values()] == [] if clear else len(list(raw.iterdir())) >= 5
+    assert lake.read("bronze_transactions").count() == lake.read("gold_fact_sales").count() > 0
+
+
+def test_frames_written_one_after_the_other(spark):
+    lake = new_lake(spark, "frames")
+    frames = [spark.range(10 * n, 10 * n + 4).selectExpr("id", "date'2024-01-01' as day") for n in range(3)]
+    assert lake.write(frames, "plain") == 12
+    assert lake.write(frames, "plain") == 12 and lake.read("plain").count() == 12
+    assert lake.replace_partition(frames, "days", "day", "2024-01-01") == 12
+    assert lake.replace_partition(frames[:2], "days", "day", "2024-01-01") == 8
+    assert sorted(r["id"] for r in lake.read("days").collect()) == [0, 1, 2, 3, 10, 11, 12, 13]
+
+
+def test_lookups_kept_per_batch_have_a_size(spark):
+    """Without one a lookup of any size was shuffled, and hot keys were looked for in no row."""
+    lake = new_lake(spark, "sized")
+    lake.write(spark.range(100).selectExpr("id", "date'2024-01-01' as _batch_date"), "lookup", partition_by=["_batch_date"])
+    assert not fits_broadcast(lake.read("lookup"))
+    assert fits_broadcast(refresh.read_sized(lake, "lookup")) and refresh.read_sized(lake, "lookup").count() == 100
