@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwright.operators.joins import fits_broadcast
-from tillwright.plans import medallion, quality, refresh
+from tillwright.plans import gold, medallion, quality, refresh
+from tillwright.registry import queries
 from tillwright.registry.queries import QUERIES
 from tillwright.schemas import FILE_NAMES, STORE
 from tillwright.session import TIDY, tidy, work_dir
@@ -243,3 +244,21 @@ def test_lookups_kept_per_batch_have_a_size(spark):
     lake.write(spark.range(100).selectExpr("id", "date'2024-01-01' as _batch_date"), "lookup", partition_by=["_batch_date"])
     assert not fits_broadcast(lake.read("lookup"))
     assert fits_broadcast(refresh.read_sized(lake, "lookup")) and refresh.read_sized(lake, "lookup").count() == 100
+
+
+def test_catalog_over_large_lookups_is_the_same(spark, monkeypatch):
+    """The lines are stored, joined in parts and removed; three joins of all lines at once filled the disk."""
+    names, key = ("catalog_top_customers", "catalog_store_performance"), "spark.sql.autoBroadcastJoinThreshold"
+    found, before = [], spark.conf.get(key)
+    monkeypatch.setattr(gold, "PART_BYTES", 1)
+    for threshold in (before, "-1"):
+        monkeypatch.setattr(queries, "_catalogs", {})
+        spark.conf.set(key, threshold)
+        try:
+            found.append([sorted(map(str, QUERIES[name](spark, FOLDER).collect())) for name in names])
+        finally:
+            spark.conf.set(key, before)
+        (lake,) = queries._catalogs.values()
+        files = lake.read("gold_fact_sales").inputFiles()
+        assert not pathlib.Path(lake.root.removeprefix("file://").removeprefix("file:"), "lines").exists()
+    assert found[0] == found[1] and all(found[0]) and len(files) > 12
